@@ -126,21 +126,31 @@ def with_readings(df: DataFrame, stripped: str) -> DataFrame:
 def latest_values(rows: DataFrame, attributes: list[Attribute], entity: list[str], name: str = "attr_name", value: str = "attr_value", when: str = "recorded_at", tie: str = "row_id") -> DataFrame:
     """(entity..., attr, v): the readable value of latest ``when`` for each
     entity and attribute; ``tie`` (the larger wins) decides between equals, a
-    null ``when`` counts as the earliest. Rows of unknown attributes,
-    unreadable values and null entities give nothing."""
-    base = rows.dropna(subset=entity).select(*entity, letters_digits(F.col(name)).alias("k"), strip(F.col(value)).alias("s"), F.col(when).alias("t"), F.col(tie).alias("r")).filter("s IS NOT NULL")
-    known = base.select(*entity, match_attribute(F.col("k"), attributes).alias("attr"), "s", "t", "r").filter("attr IS NOT NULL")
+    null ``when`` counts as the earliest. v is null where no value can be
+    read; unknown attributes have attr -1; rows of null entities are dropped.
+
+    There is no filter on computed columns: it would be pushed down and make
+    the readings run twice.
+    """
+    base = rows.dropna(subset=entity).select(*entity, letters_digits(F.col(name)).alias("k"), strip(F.col(value)).alias("s"), F.col(when).alias("t"), F.col(tie).alias("r"))
+    known = base.select(*entity, F.coalesce(match_attribute(F.col("k"), attributes), F.lit(-1)).alias("attr"), "s", "t", "r")
     own = {k: [i for i, a in enumerate(attributes) if a.kind == k] for k in SQL_TYPES}
     read = readings(F.col("s"))
     choose = reduce(lambda c, k: c.when(F.col("attr").isin(*own[k]), read[k]), [k for k in own if own[k]], F.when(F.lit(False), F.lit(None).cast("string")))
-    known = known.select(*entity, "attr", choose.alias("v"), "t", "r").filter("v IS NOT NULL")
-    latest = known.groupBy(*entity, "attr").agg(F.max(F.struct("t", "r", "v")).alias("m"))
+    best = F.when(F.col("v").isNotNull(), F.struct("t", "r", "v"))
+    known = known.select(*entity, "attr", "t", "r", choose.alias("v")).select(*entity, "attr", best.alias("m"))
+    latest = known.groupBy(*entity, "attr").agg(F.max("m").alias("m"))
     return latest.select(*entity, "attr", F.col("m.v").alias("v"))
 
 
 def pivot_wide(latest: DataFrame, attributes: list[Attribute], entity: list[str], typed: bool = True) -> DataFrame:
     """One row per entity, one column per attribute (named as the attribute;
-    null where the entity has no readable value)."""
+    null where the entity has no readable value).
+
+    The reduced rows are hash-partitioned by entity first: at most one row per
+    attribute is left of each entity, and the aggregates need no exchange.
+    """
+    latest = latest.repartition(*entity)
     one = [F.max(F.when(F.col("attr") == i, F.col("v"))).alias(f"a{i}") for i in range(len(attributes))]
     wide = latest.groupBy(*entity).agg(*one)
     cast = lambda i, a: F.col(f"a{i}").try_cast(SQL_TYPES[a.kind]) if typed else F.col(f"a{i}")
