@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import copies, nearcopies
+from . import copies, nearcopies, packing, tokenise
+
+CAPACITY = 2_048
 
 
 def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
@@ -31,7 +33,22 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_counts, p4_found)}
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokenise.encode_texts(_read(spark, d, "documents"), "doc_id", "text")
+
+
+def p8_bins(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_texts(_read(spark, d, "documents"), "doc_id", "text", CAPACITY)
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    """Containers, tokens and the share of the capacity that is used."""
+    rows = packing.pack_texts(_read(spark, d, "documents"), "doc_id", "text", CAPACITY)
+    fill = rows.filter("bin_id IS NOT NULL").groupBy("bin_id").agg(F.sum("n_tokens").alias("n"))
+    return fill.agg(F.count("*").alias("n_bins"), F.sum("n").alias("n_tokens"), (F.sum("n") / (F.count("*") * CAPACITY)).alias("used"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_counts, p4_found, p7_ids, p8_bins, p8_report)}
 
 _P2 = r"""
 WITH n AS (SELECT question_uid AS u, regexp_replace(lower(question_text), '[^\p{L}\p{M}\p{N}]+', '', 'g') AS t,
