@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import copies, nearcopies, packing, tokenise
+from . import abuse, copies, nearcopies, packing, tokenise
 
 CAPACITY = 2_048
 
@@ -48,7 +48,23 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return fill.agg(F.count("*").alias("n_bins"), F.sum("n").alias("n_tokens"), (F.sum("n") / (F.count("*") * CAPACITY)).alias("used"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_counts, p4_found, p7_ids, p8_bins, p8_report)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_scores(spark, d).filter("score >= 0.5").select("doc_id")
+
+
+def p9_scores(spark: SparkSession, d: str) -> DataFrame:
+    documents = _read(spark, d, "documents")
+    model = abuse.train(*abuse.training_rows(documents, _read(spark, d, "labels")))
+    return abuse.score_documents(documents, model, keep=("source",))
+
+
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Documents, documents found and their share, for each source."""
+    found = F.count_if(F.col("score") >= 0.5)
+    return p9_scores(spark, d).groupBy("source").agg(F.count("*").alias("n_docs"), found.alias("n_found"), (found / F.count("*")).alias("rate"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_counts, p4_found, p7_ids, p8_bins, p8_report, p9_found, p9_scores, p9_rates)}
 
 _P2 = r"""
 WITH n AS (SELECT question_uid AS u, regexp_replace(lower(question_text), '[^\p{L}\p{M}\p{N}]+', '', 'g') AS t,
