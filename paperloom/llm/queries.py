@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import abuse, copies, nearcopies, packing, tokenise
+from . import abuse, copies, nearcopies, packing, scan_repair, tokenise
 
 CAPACITY = 2_048
 
@@ -33,6 +33,15 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    found = scan_repair.repairs(_read(spark, d, "page_documents"), _read(spark, d, "classified_blocks"))
+    return found.select(F.col("kind").alias("record_kind"), F.col("id").alias("record_id"), "line_no", "noise_kind", "repaired").distinct()
+
+
+def p6_text(spark: SparkSession, d: str) -> DataFrame:
+    return scan_repair.paragraphs(_read(spark, d, "page_documents"), _read(spark, d, "classified_blocks"))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenise.encode_texts(_read(spark, d, "documents"), "doc_id", "text")
 
@@ -64,7 +73,7 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     return p9_scores(spark, d).groupBy("source").agg(F.count("*").alias("n_docs"), found.alias("n_found"), (found / F.count("*")).alias("rate"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_counts, p4_found, p7_ids, p8_bins, p8_report, p9_found, p9_scores, p9_rates)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_counts, p4_found, p6_found, p6_text, p7_ids, p8_bins, p8_report, p9_found, p9_scores, p9_rates)}
 
 _P2 = r"""
 WITH n AS (SELECT question_uid AS u, regexp_replace(lower(question_text), '[^\p{L}\p{M}\p{N}]+', '', 'g') AS t,
