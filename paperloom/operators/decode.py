@@ -6,9 +6,11 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.text import strip
 
@@ -88,29 +90,50 @@ def _failure(q: object) -> str | None:
     return None
 
 
-@F.pandas_udf(T.ArrayType(_struct(q_index=T.IntegerType(), failure=_S, raw=_S, q=QUESTION)))
-def question_items(bodies: pd.Series) -> pd.Series:
-    """The questions of a decoded response with their place; unknown keys stay
-    in ``raw``. A response or list of the wrong kind has no questions."""
-
-    def one(body: str) -> list[dict]:
-        page = json.loads(body)
-        items = page.get("questions", []) if isinstance(page, dict) else []
-        out = []
-        for i, q in enumerate(items if isinstance(items, list) else []):
-            d = q if isinstance(q, dict) else {}
-            options, tables, images, meta = d.get("options"), d.get("tables"), d.get("images"), d.get("metadata")
-            out.append({
-                "q_index": i, "failure": _failure(q), "raw": json.dumps(q, ensure_ascii=False),
-                "q": {
-                    "question_id": _text(d.get("question_id")), "question_type": _text(d.get("question_type")), "question_text": _text(d.get("question_text") or None),
-                    "options": [str(o) for o in options] if isinstance(options, (list, str, dict)) else None,
-                    "correct_answer": _text(d.get("correct_answer")),
-                    "metadata": [(str(k), _text(v)) for k, v in meta.items()] if isinstance(meta, dict) else None,
-                    "tables": [{"headers": [_text(h) for h in t.get("headers") or []], "rows": [[str(c) for c in r] for r in t.get("rows") or []]} for t in tables if isinstance(t, dict)] if isinstance(tables, list) else None,
-                    "images": [{"type": _text(m.get("type")), "description": _text(m.get("description")), "bbox": [float(v) for v in m["bbox"]] if isinstance(m.get("bbox"), list) and all(isinstance(v, (int, float)) for v in m["bbox"]) else None} for m in images if isinstance(m, dict)] if isinstance(images, list) else None,
-                },
-            })
-        return out
-
-    return bodies.map(one)
+def _typed(d: dict) -> dict:
+    """The known fields of a question, each null where its kind is wrong."""
+    options, tables, images, meta = d.get("options"), d.get("tables"), d.get("images"), d.get("metadata")
+
+    def table(t: dict) -> dict:
+        rows = t.get("rows") or []
+        return {"headers": [_text(h) for h in t.get("headers") or []], "rows": [[str(c) for c in r] if isinstance(r, (list, str)) else [str(r)] for r in rows]}
+
+    def image(m: dict) -> dict:
+        box = m.get("bbox")
+        numbers = isinstance(box, list) and all(isinstance(v, (int, float)) for v in box)
+        return {"type": _text(m.get("type")), "description": _text(m.get("description")), "bbox": [float(v) for v in box] if numbers else None}
+
+    return {
+        **{k: _text(d.get(k)) for k in ("question_id", "question_type", "correct_answer")},
+        "question_text": _text(d.get("question_text") or None),
+        "options": [str(o) for o in options] if isinstance(options, (list, str, dict)) else None,
+        "metadata": [(str(k), _text(v)) for k, v in meta.items()] if isinstance(meta, dict) else None,
+        "tables": [table(t) for t in tables if isinstance(t, dict)] if isinstance(tables, list) else None,
+        "images": [image(m) for m in images if isinstance(m, dict)] if isinstance(images, list) else None,
+    }
+
+
+def explode_questions(decoded: DataFrame, keep: list[str], body: str = "body") -> DataFrame:
+    """The questions of decoded responses: the kept columns, q_index (the place
+    in the response), failure, raw (the whole object as JSON, so that unknown
+    keys stay) and the fields of QUESTION. A response or list of the wrong
+    kind has no questions."""
+    source = decoded.select(*keep, F.col(body).alias("_body"))
+    fields = [T.StructField("q_index", T.IntegerType()), T.StructField("failure", _S), T.StructField("raw", _S), *QUESTION.fields]
+    out = T.StructType([*source.schema.fields[:-1], *fields])
+    arrow = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, parent = [], []
+            for k, text in enumerate(b.column(b.num_columns - 1).to_pylist()):
+                page = json.loads(text)
+                items = page.get("questions", []) if isinstance(page, dict) else []
+                for i, q in enumerate(items if isinstance(items, list) else []):
+                    parent.append(k)
+                    rows.append({"q_index": i, "failure": _failure(q), "raw": json.dumps(q, ensure_ascii=False), **_typed(q if isinstance(q, dict) else {})})
+            kept = [c.take(pa.array(parent, pa.int32())) for c in b.columns[:-1]]
+            new = [pa.array([r[f.name] for r in rows], f.type) for f in list(arrow)[len(kept) :]]
+            yield pa.RecordBatch.from_arrays([*kept, *new], schema=arrow)
+
+    return source.mapInArrow(run, out)

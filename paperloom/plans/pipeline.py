@@ -21,8 +21,7 @@ def process_documents(pages: DataFrame, load: Callable[[], Callable[[object, str
     answered = stage(extract.with_responses(pages, "raster", load).select("exam_code", "page_number", "width_px", "height_px", "response", "error"), "responses")
     failed = answered.filter("response IS NULL").select("exam_code", "page_number", "response", "error")
     good, bad = decode.decode(answered.filter("response IS NOT NULL").drop("error"), "response")
-    items = good.select("exam_code", "page_number", "width_px", "height_px", F.inline(decode.question_items(F.col("body"))))
-    flat = items.select("exam_code", "page_number", "q_index", "failure", "raw", "width_px", "height_px", "q.*")
+    flat = decode.explode_questions(good, ["exam_code", "page_number", "width_px", "height_px"])
     # A falsy text is skipped unless the item fails before it is looked at.
     live = flat.filter("question_text <> '' OR failure = 'before'")
     text = clean.clean_text(F.col("question_text"))
@@ -74,8 +73,7 @@ def run(spark: SparkSession, load: Callable, renderers: list[Callable], input: s
         out["documents"] = documents(exams, questions)
     if output:
         path = lambda ext: F.concat("exam_code", F.lit(ext))
-        body = F.to_json(F.struct(F.sort_array(F.collect_list(F.struct("page_number", "q_index", "raw", "question_text", "options")))["raw"].alias("questions")))
-        files.write_files(questions.groupBy("exam_code").agg(body.alias("j")).select(path(".json").alias("name"), "j"), output, "name", "j")
+        files.write_files(files.document_json(questions).select(path(".json").alias("name"), "body"), output, "name", "body")
         files.write_files(figures(questions, pages).select(F.col("local_path").alias("name"), "png"), output, "name", "png")
         if not skip_render:
             files.write_files(out["documents"].select(path(".md").alias("name"), "md"), output, "name", "md")

@@ -6,9 +6,11 @@ import json
 import os
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PAGES = "path string, exam_code string, page_number int, raster binary, width_px int, height_px int, parse_failed boolean"
 
@@ -80,6 +82,31 @@ def write_files(df: DataFrame, folder: str, name: str, content: str) -> None:
     df.select(name, content).filter(F.col(content).isNotNull()).foreachPartition(save)
 
 
-def document_json(body: dict) -> str:
-    """The text of a result document: two spaces, ASCII only."""
-    return json.dumps(body, indent=2)
+@F.pandas_udf(T.StringType())
+def question_json(raw: pd.Series, page: pd.Series, text: pd.Series, options: pd.Series, paths: pd.Series) -> pd.Series:
+    """A question's own object (unknown keys kept, in their order) with its
+    page, cleaned text, cleaned options and the places of its figures."""
+
+    def one(r: str, p: int, t: str, o: list | None, where: list | None) -> str:
+        q = json.loads(r)
+        q |= {"page_number": int(p), "question_text": t, "options": list(o) if o is not None else []}
+        for image, path in zip(q.get("images") or [], where if where is not None else []):
+            if path and isinstance(image, dict):
+                image["local_path"] = path
+        return json.dumps(q)
+
+    return pd.Series([one(*x) for x in zip(raw, page, text, options, paths)])
+
+
+@F.pandas_udf(T.StringType())
+def pretty(bodies: pd.Series) -> pd.Series:
+    """JSON with an indent of two, ASCII only."""
+    return bodies.map(lambda b: json.dumps(json.loads(b), indent=2))
+
+
+def document_json(questions: DataFrame) -> DataFrame:
+    """(exam_code, body): one result document per exam, in page order."""
+    q = question_json("raw", "page_number", "question_text", "options", F.col("images.local_path"))
+    each = questions.select("exam_code", F.struct("page_number", "q_index", q.alias("j")).alias("s"))
+    per = each.groupBy("exam_code").agg(F.array_join(F.sort_array(F.collect_list("s"))["j"], ",").alias("b"))
+    return per.select("exam_code", pretty(F.concat(F.lit('{"questions": ['), "b", F.lit("]}"))).alias("body"))
