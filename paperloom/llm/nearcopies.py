@@ -21,11 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import words_of
 from ..storage import stage
+from .copies import costly_key
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -70,14 +71,23 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return (key >> np.uint64(16)).astype(np.int64)
 
 
-def question_elements(text: Column, options: Column, width: int = 3) -> Column:
-    """64-bit hashes of the distinct runs of ``width`` consecutive words of
-    the text, and of each distinct option as a whole, kept apart from runs."""
-    words = words_of(text)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - (width - 1), F.lit(1))), lambda i: F.xxhash64(*[F.get(words, i - 1 + k) for k in range(width)]))
-    runs = F.when(F.size(words) >= width, runs).otherwise(F.array().cast("array<bigint>"))
-    whole = F.filter(F.transform(F.coalesce(options, F.array().cast("array<string>")), lambda o: F.array_join(words_of(o), " ")), lambda o: o.isNotNull() & (o != ""))
-    return F.array_distinct(F.concat(runs, F.transform(whole, lambda o: F.xxhash64(F.lit("option"), o))))
+def question_elements(df: DataFrame, key: str, text: str, options: str, width: int = 3) -> DataFrame:
+    """(k, d, e): the key, a hash of the normalised record, and 64-bit hashes
+    of the distinct runs of ``width`` consecutive words of the text and of
+    each distinct option as a whole, kept apart from the runs.
+
+    The words are a column of their own before runs are cut: inside a lambda
+    they would be extracted again for every run.
+    """
+    none = F.array().cast("array<string>")
+    base = df.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"), F.coalesce(F.col(options), none).alias("o"))
+    base = base.filter(F.col("t").rlike(r"[\p{L}\p{N}]") & F.col("k").isNotNull())
+    cut = base.select("k", costly_key(F.col("t"), F.col("o")).alias("d"), words_of(F.col("t")).alias("w"), F.transform("o", lambda o: F.array_join(words_of(o), " ")).alias("o"))
+    shifted = [F.slice("w", i + 1, F.greatest(F.size("w") - (width - 1), F.lit(0))) for i in range(width)]
+    zipped = F.arrays_zip(*[c.alias(f"w{i}") for i, c in enumerate(shifted)])
+    runs = F.transform(zipped, lambda x: F.xxhash64(*[x[f"w{i}"] for i in range(width)]))
+    whole = F.transform(F.filter("o", lambda o: o.isNotNull() & (o != "")), lambda o: F.xxhash64(F.lit("option"), o))
+    return cut.select("k", F.xxhash64("d").alias("d"), F.array_distinct(F.concat(runs, whole)).alias("e"))
 
 
 def plan_bands(threshold: float, rows: int, miss: float) -> int:
@@ -129,21 +139,13 @@ def verified(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     return sized.select("a", "b", similarity.alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
-def representatives(df: DataFrame, key: str, elements: Column, same: Column, keep: Column) -> tuple[DataFrame, DataFrame]:
-    """(reps, members). reps: (k, d, e), one row for each class of records
-    with the same elements and the same ``same``; members: (k, rep, d)."""
-    base = df.filter(keep).select(F.col(key).cast("bigint").alias("k"), same.alias("d"), elements.alias("e")).filter(F.size("e") > 0)
-    base = stage(base.select("k", F.xxhash64("d").alias("d"), F.xxhash64(F.array_sort("e"), F.col("d")).alias("c"), "e"), "near-elements")
-    heads = base.groupBy("c", "d").agg(F.min("k").alias("rep"), F.count("*").alias("n"))
-    members = base.select("k", "c", "d").join(heads, ["c", "d"]).select("k", "rep", "d", "n")
-    return base, stage(members, "near-members")
-
-
-def similar_pairs(df: DataFrame, key: str, elements: Column, same: Column, keep: Column, threshold: float = 0.5, rows: int = 5, miss: float = 0.02, passes: int = 4) -> DataFrame:
+def similar_pairs(elements: DataFrame, threshold: float = 0.5, rows: int = 5, miss: float = 0.02, passes: int = 4) -> DataFrame:
     """(uid_a, uid_b), uid_a < uid_b: records of similarity >= threshold
-    whose ``same`` differs. Rows with null keys or without elements are no
-    cases. Keys are expected to be unique."""
-    base, members = representatives(df, key, elements, same, keep)
+    whose ``d`` differs. elements: (k, d, e); records without elements are no
+    cases; keys are expected to be unique."""
+    base = stage(elements.select("k", "d", F.xxhash64(F.array_sort("e"), "d").alias("c"), "e"), "near-elements").filter(F.size("e") > 0)
+    heads = base.groupBy("c", "d").agg(F.min("k").alias("rep"))
+    members = stage(base.select("k", "c", "d").join(heads, ["c", "d"]).select("k", "rep", "d"), "near-members")
     one = members.filter("k = rep").select("k")
     reps = base.join(one, "k", "left_semi").select("k", "e")
     reps = stage(reps, "near-reps")

@@ -26,11 +26,8 @@ def p2_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    text, options = F.col("question_text"), F.col("options")
-    return nearcopies.similar_pairs(
-        _read(spark, d, "questions"), "question_uid",
-        nearcopies.question_elements(text, options), copies.costly_key(text, options), text.rlike(r"[\p{L}\p{N}]"),
-    )
+    elements = nearcopies.question_elements(_read(spark, d, "questions"), "question_uid", "question_text", "options")
+    return nearcopies.similar_pairs(elements)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
