@@ -17,7 +17,7 @@ shared storage, so the largest shuffle is that of one pass.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import words_of
 from ..storage import stage
-from .copies import costly_key
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -82,12 +81,16 @@ def question_elements(df: DataFrame, key: str, text: str, options: str, width: i
     none = F.array().cast("array<string>")
     base = df.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"), F.coalesce(F.col(options), none).alias("o"))
     base = base.filter(F.col("t").rlike(r"[\p{L}\p{N}]") & F.col("k").isNotNull())
-    cut = base.select("k", costly_key(F.col("t"), F.col("o")).alias("d"), words_of(F.col("t")).alias("w"), F.transform("o", lambda o: F.array_join(words_of(o), " ")).alias("o"))
+    cut = base.select("k", words_of(F.col("t")).alias("w"), F.transform("o", words_of).alias("o"))
+    # Words are maximal runs, so they joined without space are the normalised
+    # text; the same holds for options. No second pass over the texts.
+    joined = lambda by: F.filter(F.transform("o", lambda x: F.array_join(x, by)), lambda x: x.isNotNull() & (x != ""))
+    same = F.xxhash64(F.array_join("w", ""), F.array_join(F.array_sort(joined("")), "\n"))
     shifted = [F.slice("w", i + 1, F.greatest(F.size("w") - (width - 1), F.lit(0))) for i in range(width)]
     zipped = F.arrays_zip(*[c.alias(f"w{i}") for i, c in enumerate(shifted)])
     runs = F.transform(zipped, lambda x: F.xxhash64(*[x[f"w{i}"] for i in range(width)]))
-    whole = F.transform(F.filter("o", lambda o: o.isNotNull() & (o != "")), lambda o: F.xxhash64(F.lit("option"), o))
-    return cut.select("k", F.xxhash64("d").alias("d"), F.array_distinct(F.concat(runs, whole)).alias("e"))
+    whole = F.transform(joined(" "), lambda o: F.xxhash64(F.lit("option"), o))
+    return cut.select("k", same.alias("d"), F.array_distinct(F.concat(runs, whole)).alias("e"))
 
 
 def plan_bands(threshold: float, rows: int, miss: float) -> int:
@@ -104,7 +107,7 @@ def _band_rows(reps: DataFrame, bands: int, rows: int, seed: int, block: int = 2
                 lists = batch.column(1)
                 off = lists.offsets.to_numpy().astype(np.int64)
                 values = lists.values.to_numpy(zero_copy_only=False)[off[0] : off[-1]]
-                sketch = sketches(values.view(np.uint64), np.diff(off), bands * rows, seed)
+                sketch = sketches(values.astype(np.uint64), np.diff(off), bands * rows, seed)
                 keys = band_keys(sketch, bands, rows)
                 k = batch.column(0).to_numpy()
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(k, bands))], names=["band", "k"])
@@ -127,30 +130,48 @@ def candidate_pairs(reps: DataFrame, threshold: float, rows: int, miss: float, p
     return out.distinct()
 
 
-def verified(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, similarity) of the pairs that reach the threshold, exactly."""
-    a = reps.select(F.col("k").alias("a"), F.col("e").alias("ea"))
-    b = reps.select(F.col("k").alias("b"), F.col("e").alias("eb"))
-    sized = pairs.join(a, "a").join(b, "b")
-    small, large = F.least(F.size("ea"), F.size("eb")), F.greatest(F.size("ea"), F.size("eb"))
-    common = F.size(F.array_intersect("ea", "eb"))
-    sized = sized.filter(small >= large * threshold).select("a", "b", common.alias("c"), (F.size("ea") + F.size("eb")).alias("s"))
-    similarity = F.col("c") / (F.col("s") - F.col("c"))
-    return sized.select("a", "b", similarity.alias("similarity")).filter(F.col("similarity") >= threshold)
+def _with_common(pairs: DataFrame, elements: DataFrame) -> DataFrame:
+    """(a, b, c, s): common elements and the sum of both sizes."""
+    a = elements.select(F.col("k").alias("a"), F.col("e").alias("ea"))
+    b = elements.select(F.col("k").alias("b"), F.col("e").alias("eb"))
+    return pairs.join(a, "a").join(b, "b").select("a", "b", F.size(F.array_intersect("ea", "eb")).alias("c"), (F.size("ea") + F.size("eb")).alias("s"))
 
 
-def similar_pairs(elements: DataFrame, threshold: float = 0.5, rows: int = 5, miss: float = 0.02, passes: int = 4) -> DataFrame:
+#: Pairs whose common elements are so close to what the threshold needs are
+#: counted again on 64-bit elements.
+NEAR = 2
+
+
+def verified(pairs: DataFrame, reps: DataFrame, exact: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
+    """(a, b) of the pairs that reach the threshold.
+
+    ``reps`` holds 31 bits of each element: a count on them is off by one with
+    a probability of about 1e-6, so only pairs within NEAR of the threshold
+    can be judged wrongly; those are counted again on the elements that
+    ``exact`` makes anew for the records concerned.
+    """
+    counted = stage(_with_common(pairs, reps), "near-counted")
+    needed = F.col("s") * (threshold / (1 + threshold))
+    sure = counted.filter(F.col("c") > needed + NEAR).select("a", "b")
+    close = counted.filter(F.abs(F.col("c") - needed) <= NEAR).select("a", "b")
+    records = close.select(F.col("a").alias("k")).unionByName(close.select(F.col("b").alias("k"))).distinct()
+    again = _with_common(close, stage(exact(records), "near-exact"))
+    return sure.unionByName(again.filter(F.col("c") >= threshold * (F.col("s") - F.col("c"))).select("a", "b"))
+
+
+def similar_pairs(df: DataFrame, key: str, elements: Callable[[DataFrame], DataFrame], threshold: float = 0.5, rows: int = 5, miss: float = 0.02, passes: int = 4) -> DataFrame:
     """(uid_a, uid_b), uid_a < uid_b: records of similarity >= threshold
-    whose ``d`` differs. elements: (k, d, e); records without elements are no
-    cases; keys are expected to be unique."""
-    base = stage(elements.select("k", "d", F.xxhash64(F.array_sort("e"), "d").alias("c"), "e"), "near-elements").filter(F.size("e") > 0)
+    whose ``d`` differs. elements: from rows of ``df`` to (k, d, e); records
+    without elements are no cases; keys are expected to be unique."""
+    small = F.transform("e", lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
+    base = stage(elements(df).select("k", "d", F.xxhash64(F.array_sort("e"), "d").alias("c"), small.alias("e")), "near-elements").filter(F.size("e") > 0)
     heads = base.groupBy("c", "d").agg(F.min("k").alias("rep"))
     members = stage(base.select("k", "c", "d").join(heads, ["c", "d"]).select("k", "rep", "d"), "near-members")
     one = members.filter("k = rep").select("k")
     reps = base.join(one, "k", "left_semi").select("k", "e")
     reps = stage(reps, "near-reps")
     pairs = candidate_pairs(reps, threshold, rows, miss, passes)
-    links = verified(pairs, reps, threshold).select("a", "b")
+    links = verified(pairs, reps, lambda ks: elements(df.join(ks, df[key] == ks["k"], "left_semi")), threshold)
     of_a = members.select(F.col("rep").alias("a"), F.col("k").alias("ka"), F.col("d").alias("da"))
     of_b = members.select(F.col("rep").alias("b"), F.col("k").alias("kb"), F.col("d").alias("db"))
     every = links.join(of_a, "a").join(of_b, "b").filter("da <> db")

@@ -26,8 +26,8 @@ def p2_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    elements = nearcopies.question_elements(_read(spark, d, "questions"), "question_uid", "question_text", "options")
-    return nearcopies.similar_pairs(elements)
+    elements = lambda q: nearcopies.question_elements(q, "question_uid", "question_text", "options")
+    return nearcopies.similar_pairs(_read(spark, d, "questions"), "question_uid", elements)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

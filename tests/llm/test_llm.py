@@ -62,9 +62,9 @@ def test_near_copies(spark):
     live = [(u, norm(t, o), elements(t, o)) for u, t, o, *_ in rows if t and words(t)]
     want = {(a[0], b[0]) for a, b in itertools.combinations(live, 2) if a[1] != b[1] and a[2] | b[2] and len(a[2] & b[2]) >= 0.5 * len(a[2] | b[2])}
     df = spark.createDataFrame(rows, QS)
-    got = [tuple(r) for r in nearcopies.similar_pairs(nearcopies.question_elements(df, "u", "t", "o"), miss=1e-6).collect()]
+    got = [tuple(r) for r in nearcopies.similar_pairs(df, "u", lambda x: nearcopies.question_elements(x, "u", "t", "o"), miss=1e-6).collect()]
     assert len(got) == len(set(got)) and set(got) == want and want
-    assert nearcopies.similar_pairs(nearcopies.question_elements(df.limit(0), "u", "t", "o")).count() == 0
+    assert nearcopies.similar_pairs(df.limit(0), "u", lambda x: nearcopies.question_elements(x, "u", "t", "o")).count() == 0
 
 
 def test_sketch():
