@@ -62,18 +62,65 @@ def test_near_copies(spark):
     live = [(u, norm(t, o), elements(t, o)) for u, t, o, *_ in rows if t and words(t)]
     want = {(a[0], b[0]) for a, b in itertools.combinations(live, 2) if a[1] != b[1] and a[2] | b[2] and len(a[2] & b[2]) >= 0.5 * len(a[2] | b[2])}
     df = spark.createDataFrame(rows, QS)
-    got = [tuple(r) for r in nearcopies.similar_pairs(df, "u", lambda x: nearcopies.question_elements(x, "u", "t", "o"), miss=1e-6).collect()]
+    cut = lambda x: nearcopies.question_elements(x, "u", "t", "o", width=3)
+    got = [tuple(r) for r in nearcopies.similar_pairs(df, cut, 0.5, miss=1e-9).collect()]
     assert len(got) == len(set(got)) and set(got) == want and want
-    assert nearcopies.similar_pairs(df.limit(0), "u", lambda x: nearcopies.question_elements(x, "u", "t", "o")).count() == 0
+    groups = {r.u: (r.group_uid, r.n_records) for r in nearcopies.similar_groups(df, cut, 0.5, miss=1e-9, key="u").collect()}
+    root = {u: u for pair in want for u in pair}
+    for _ in root:
+        for a, b in want:
+            root[a] = root[b] = min(root[a], root[b])
+    size = Counter(root.values())
+    assert groups == {u: (r, size[r]) for u, r in root.items()}
+    assert nearcopies.similar_pairs(df.limit(0), cut).count() == 0 and nearcopies.similar_groups(df.limit(0), cut).count() == 0
+
+
+def test_near_copies_hot_band(spark, monkeypatch):
+    """A family larger than a block: every pair, each once."""
+    monkeypatch.setattr(nearcopies, "HOT", 7)
+    common = " ".join(f"c{i}" for i in range(40))
+    rows = [(u, f"{common} tail{u}", ["a"], "", 0) for u in range(40)]
+    df = spark.createDataFrame(rows, QS)
+    got = [tuple(r) for r in nearcopies.similar_pairs(df, lambda x: nearcopies.question_elements(x, "u", "t", "o", width=3), 0.5).collect()]
+    assert len(got) == len(set(got)) and set(got) == set(itertools.combinations(range(40), 2))
+
+
+def test_near_copies_recall(spark):
+    """The shipped setting against all pairs of sf0.01 that reach 0.5."""
+    q = spark.read.parquet("/root/testdata/sf0.01/questions.parquet")
+    got = {tuple(r) for r in queries.p4_found(spark, "/root/testdata/sf0.01").collect()}
+    rows = [(r.question_uid, norm(r.question_text, r.options), elements(r.question_text, r.options)) for r in q.select("question_uid", "question_text", "options").collect() if r.question_text and words(r.question_text)]
+    by = {}
+    for i, (_, _, e) in enumerate(rows):
+        for x in e:
+            by.setdefault(x, []).append(i)
+    common = Counter(p for m in by.values() for p in itertools.combinations(m, 2))
+    want = {tuple(sorted((rows[i][0], rows[j][0]))) for (i, j), c in common.items() if rows[i][1] != rows[j][1] and c >= 0.5 * (len(rows[i][2]) + len(rows[j][2]) - c)}
+    assert got <= want and len(got) >= 0.999 * len(want) and want
+
+
+def test_components(spark):
+    rnd = random.Random(4)
+    links = [(i, i + 1) for i in range(0, 300)] + [(1000 + rnd.randrange(80), 1000 + rnd.randrange(80)) for _ in range(60)] + [(5000, 4000 + i) for i in range(50)]
+    got = {r.k: r.root for r in nearcopies.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    root = {u: u for p in links if p[0] != p[1] for u in p}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            if a != b and root[a] != root[b]:
+                root[a] = root[b] = min(root[a], root[b])
+                changed = True
+    assert got == root
 
 
 def test_sketch():
     rnd = np.random.default_rng(0)
     shared, a, b = (rnd.integers(0, 2**63, n, dtype=np.int64).astype(np.uint64) for n in (300, 100, 100))
     s = nearcopies.sketches(np.concatenate([shared, a, shared, b, shared[:1]]), np.array([400, 400, 1]), 512)
-    assert (s != np.uint64(0xFFFFFFFFFFFFFFFF)).all()
+    assert (s != np.uint32(0xFFFFFFFF)).all()
     assert abs((s[0] == s[1]).mean() - 0.6) < 0.08
-    assert nearcopies.plan_bands(0.5, 5, 0.02) == 124
+    assert nearcopies.plan_bands(0.5, 4, 0.02) == 61
 
 
 @pytest.fixture(scope="module")
