@@ -37,7 +37,7 @@ WIDE = 5
 #: A band of more records is cut into blocks of so many.
 HOT = 1_000
 #: Band entries of one target partition, and target partitions of one pass.
-PART_ROWS, PASS_PARTS = 2_000_000, 20_000
+PART_ROWS, PASS_PARTS = 2_000_000, 1 << 14
 
 
 def _mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -248,11 +248,14 @@ def _band_blobs(reps: DataFrame, bands: int, rows: int, seed: int, parts: int, b
 
     def packed(keys: list[np.ndarray], ks: list[np.ndarray]) -> pa.RecordBatch:
         key, k = np.concatenate(keys), np.concatenate(ks)
+        part = (key >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)
+        key = part << np.uint64(8 * WIDE) | key & np.uint64((1 << 8 * WIDE) - 1)
         order = np.argsort(key)
-        key, k = key[order], k[order]
-        part = (key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        key, k, part = key[order], k[order], part[order]
         at = np.concatenate([np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])), [len(part)]])
-        low = key & np.uint64((1 << 8 * WIDE) - 1)
+        # Differences of sorted keys: the more entries, the fewer bytes each.
+        low = np.diff(key, prepend=np.uint64(0))
+        low[at[:-1]] = key[at[:-1]] & np.uint64((1 << 8 * WIDE) - 1)
         spans = list(zip(at[:-1], at[1:]))
         return pa.RecordBatch.from_arrays(
             [pa.array(part[at[:-1]].astype(np.int32)), pa.array([_planes(low[a:z], WIDE) for a, z in spans], pa.binary()), pa.array([_planes(k[a:z], 8) for a, z in spans], pa.binary())], names=["part", "bands", "ks"]
@@ -300,7 +303,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bands, ks = [], []
     for batch in batches:
         for x, y in zip(batch.column(1), batch.column(2)):
-            bands.append(_unplaned(memoryview(x.as_buffer()), WIDE))
+            bands.append(np.cumsum(_unplaned(memoryview(x.as_buffer()), WIDE), dtype=np.uint64))
             ks.append(_unplaned(memoryview(y.as_buffer()), 8).astype(np.int64))
     if not bands:
         return
