@@ -2,9 +2,10 @@
 
 Dense features of a text (lexicon densities, proximity of hits to a second
 person, capitals, punctuation and obfuscation rates, of the text and of its
-most suspicious sentence) go through gradient-boosted trees, trained here on
-the labelled rows and on written examples, and isotonic calibration on
-out-of-fold scores.
+most suspicious sentence) go through gradient-boosted trees with isotonic
+calibration on out-of-fold scores. Beside the general lists of ``lexicon``
+there is a learned lexicon: the log-odds of the words of labelled texts. A
+labelled text's own features are made from the words of the other folds.
 """
 
 from __future__ import annotations
@@ -18,190 +19,267 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import release, stage
 from . import lexicon
 from .boosting import Trees, calibrated, isotonic
 
-#: At most so many labelled documents train the model (the smallest by hash).
-TRAIN_ROWS = 20_000
-GROUPS = ("insult", "profane", "demean", "threat", "sexual", "second", "person", "command", "benign")
-_LISTS = (lexicon.INSULT, lexicon.PROFANE, lexicon.DEMEAN, lexicon.THREAT, lexicon.SEXUAL, lexicon.SECOND, lexicon.PERSON, lexicon.COMMAND, lexicon.BENIGN)
-_OF: dict[str, int] = {}
-for _i, _words in enumerate(_LISTS):
-    for _w in _words:
-        _OF[_w] = _OF.get(_w, 0) | 1 << _i
+#: At most so many labelled documents train the model (the smallest by hash),
+#: and at most so many of their words, the most frequent, have log-odds.
+TRAIN_ROWS, VOCABULARY = 20_000, 50_000
+#: A word needs so many labelled texts; texts are dealt to so many folds.
+LEAST, FOLDS = 3, 4
+GROUPS = ("insult", "profane", "demean", "threat", "sexual", "second", "person")
 _BAD = 0b11111
+_SECOND, _PERSON = 1 << 5, 1 << 6
 #: Fixed value: characters used in place of letters.
 _LEET = str.maketrans({"@": "a", "4": "a", "3": "e", "1": "i", "!": "i", "0": "o", "$": "s", "5": "s", "7": "t", "+": "t"})
-_PLAIN = re.compile(r"[^\W\d_]+(?:[ऀ-ॿ]+)?", re.U)
 _TOKEN = re.compile(r"[\wऀ-ॣ०-ॿ@$*!#+-]*[\wऀ-ॣ०-ॿ*#$@]|[\w]", re.U)
 _SENTENCE = re.compile(r"(?<=[.!?।])\s+|\n+")
 _SPACED = re.compile(r"(?<!\w)(?:\w[ .\-_*]){2,}\w(?!\w)")
 _REPEAT = re.compile(r"(.)\1{2,}")
-_STARS: dict[str, re.Pattern] = {}
-_SHORT = {}
-for _w in _OF:
-    if _OF[_w] & _BAD and len(_w) > 2:
-        _SHORT.setdefault((len(_w), _w[0]), []).append(_w)
-
-
-def _lookup(token: str) -> tuple[int, int]:
-    """(groups as bits, 1 if the token had to be undone first)."""
-    low = token.lower()
-    hit = _OF.get(low)
-    if hit is not None:
-        return hit, 0
-    if low.isalpha():
-        if _REPEAT.search(low):
-            for by in (r"\1", r"\1\1"):
-                hit = _OF.get(_REPEAT.sub(by, low))
-                if hit is not None:
-                    return hit, 1
-        return 0, 0
-    if "*" in low or "#" in low:
-        shape = re.compile("".join("." if c in "*#" else re.escape(c) for c in low) + "$")
-        for w in _SHORT.get((len(low), low[0]), ()):
-            if shape.match(w):
-                return _OF[w], 1
-        return 0, 0
-    if low[0].isdigit() and low[-1].isdigit():
-        return 0, 0
-    undone = _REPEAT.sub(r"\1", low.translate(_LEET))
-    hit = _OF.get(undone)
-    if hit is None:
-        hit = _OF.get(re.sub(r"[^\w]", "", undone))
-        if hit is None:
-            parts = [_OF.get(p, 0) for p in re.split(r"[^\w]+", low) if p]
-            bits = 0
-            for p in parts:
-                bits |= p
-            return bits, 0
-    return hit, 1
-
-
 _GROUPS_OF = [[g for g in range(len(GROUPS)) if b >> g & 1] for b in range(1 << len(GROUPS))]
-_KNOWN: dict[str, tuple[int, int]] = {}
-
-
-def _cached(token: str) -> tuple[int, int]:
-    hit = _KNOWN.get(token)
-    if hit is None:
-        hit = _lookup(token)
-        if len(token) <= 32:
-            if len(_KNOWN) >= 1 << 17:
-                _KNOWN.clear()
-            _KNOWN[token] = hit
-    return hit
-
+_LISTS = (lexicon.INSULT, lexicon.PROFANE, lexicon.DEMEAN, lexicon.THREAT, lexicon.SEXUAL, lexicon.SECOND, lexicon.PERSON)
+_LEXICON = {w: sum(1 << g for g, words in enumerate(_LISTS) if w in words) for w in {w for words in _LISTS for w in words}}
+
+
+def sentences_of(text: str) -> tuple[list[str], list[list[str]]]:
+    """Sentences and their tokens."""
+    text = unicodedata.normalize("NFC", text.replace("﻿", " "))
+    parts = [s for s in _SENTENCE.split(text) if s]
+    return parts, [_TOKEN.findall(s) for s in parts]
+
+
+class Words:
+    """What is known of a token: (lexicon groups as bits, 1 if it had to be
+    undone first, learned log-odds). Spellings are looked up once."""
+
+    def __init__(self, learned: dict[str, float] | None = None, groups: dict[str, int] | None = None):
+        self.learned, self.groups = learned or {}, _LEXICON if groups is None else groups
+        self.known: dict[str, tuple[int, int, float]] = {}
+        self.shapes: dict[tuple[int, str], list[str]] = {}
+        for w, bits in self.groups.items():
+            if bits & _BAD and len(w) > 2:
+                self.shapes.setdefault((len(w), w[0]), []).append(w)
+
+    def __getstate__(self) -> tuple:
+        return self.learned, self.groups
+
+    def __setstate__(self, state: tuple) -> None:
+        self.__init__(*state)
+
+    def _one(self, low: str) -> tuple[int, float] | None:
+        bits, w = self.groups.get(low), self.learned.get(low)
+        return None if bits is None and w is None else (bits or 0, w or 0.0)
+
+    def _look(self, token: str) -> tuple[int, int, float]:
+        low = token.lower()
+        hit = self._one(low)
+        if hit:
+            return hit[0], 0, hit[1]
+        tries = []
+        if low.isalpha():
+            if _REPEAT.search(low):
+                tries = [_REPEAT.sub(r"\1", low), _REPEAT.sub(r"\1\1", low)]
+        elif "*" in low or "#" in low:
+            shape = re.compile("".join("." if c in "*#" else re.escape(c) for c in low) + "$")
+            tries = [w for w in self.shapes.get((len(low), low[0]), ()) if shape.match(w)][:1]
+        elif not (low[0].isdigit() and low[-1].isdigit()):
+            undone = _REPEAT.sub(r"\1", low.translate(_LEET))
+            tries = [undone, re.sub(r"[^\w]", "", undone)]
+        for t in tries:
+            hit = self._one(t)
+            if hit and (hit[0] & _BAD or hit[1] > 1):
+                return hit[0], 1, hit[1]
+        if "-" in low:
+            found = [h for h in map(self._one, low.split("-")) if h]
+            if found:
+                bits = 0
+                for b, _ in found:
+                    bits |= b
+                return bits, 0, max((w for _, w in found), key=abs)
+        return 0, 0, 0.0
+
+    def look(self, token: str) -> tuple[int, int, float]:
+        hit = self.known.get(token)
+        if hit is None:
+            hit = self._look(token)
+            if len(token) <= 32:
+                if len(self.known) >= 1 << 17:
+                    self.known.clear()
+                self.known[token] = hit
+        return hit
 
-def _join_spaced(text: str) -> tuple[str, int]:
-    n = 0
+    def join_spaced(self, text: str) -> tuple[str, int]:
+        """Words written letter by letter, joined where the list has them."""
+        n = 0
 
-    def undo(m: re.Match) -> str:
-        nonlocal n
-        word = re.sub(r"[ .\-_*]", "", m.group())
-        if _OF.get(word.lower(), 0) & _BAD:
-            n += 1
-            return word
-        return m.group()
+        def undo(m: re.Match) -> str:
+            nonlocal n
+            word = re.sub(r"[ .\-_*]", "", m.group())
+            if self.groups.get(word.lower(), 0) & _BAD:
+                n += 1
+                return word
+            return m.group()
 
-    return _SPACED.sub(undo, text), n
+        return _SPACED.sub(undo, text), n
 
 
-N_FEATURES = 38
+N_FEATURES = 42
 
 
-def features(text: str | None) -> np.ndarray:
+def features(text: str | None, words: Words) -> np.ndarray:
     """The dense features of one text; all 0 for null and blank texts."""
     out = np.zeros(N_FEATURES)
     if not text or not text.strip():
         return out
-    text = unicodedata.normalize("NFC", text.replace("\ufeff", " "))
-    text, undone = _join_spaced(text)
-    total = [0] * len(GROUPS)
-    best, words = None, 0
-    for sentence in _SENTENCE.split(text):
-        tokens = _TOKEN.findall(sentence)
-        words += len(tokens)
-        found = [_cached(t) for t in tokens]
-        some = [(i, b, o) for i, (b, o) in enumerate(found) if b]
-        if not some:
+    text, undone = words.join_spaced(text)
+    parts, tokenised = sentences_of(text)
+    total, count, weight_sum = [0] * len(GROUPS), 0, 0.0
+    best, tops = None, []
+    look = words.look
+    for sentence, tokens in zip(parts, tokenised):
+        count += len(tokens)
+        found = [look(t) for t in tokens]
+        weights = sorted(w for _, _, w in found if w)
+        if not weights and not any(b for b, _, _ in found):
             continue
+        mean = sum(weights) / len(tokens)
+        weight_sum += sum(weights)
+        top = sum(weights[-3:])
+        tops.append(top)
         n = [0] * len(GROUPS)
-        for _, b, _ in some:
+        for b, _, _ in found:
             for g in _GROUPS_OF[b]:
                 n[g] += 1
         for g, k in enumerate(n):
             total[g] += k
-        hits = [i for i, b, _ in some if b & _BAD]
-        if not hits:
-            continue
-        odd = sum(o for _, b, o in some if b & _BAD)
+        hits = [i for i, (b, _, w) in enumerate(found) if b & _BAD or w > 1.5]
+        odd = sum(o for b, o, _ in found if b & _BAD)
         undone += odd
-        second = [i for i, b, _ in some if b & 1 << 5]
-        person = [i for i, b, _ in some if b & 1 << 6]
-        near = min((abs(i - j) for i in hits for j in second), default=99)
-        to_person = min((abs(i - j) for i in hits for j in person), default=99)
         bad = sum(n[:5])
-        weight = 2 * bad + 1.5 * (near < 6) + 0.5 * min(n[5], 2) + 0.4 * min(n[6], 3) + 0.4 * min(n[7], 2) + odd - 1.5 * n[8]
-        if best is None or weight > best[0]:
+        suspicion = top + 1.5 * bad + odd
+        if best is None or suspicion > best[0]:
+            second = [i for i, (b, _, _) in enumerate(found) if b & _SECOND]
+            person = [i for i, (b, _, _) in enumerate(found) if b & _PERSON]
+            near = min((abs(i - j) for i in hits for j in second), default=99)
+            to_person = min((abs(i - j) for i in hits for j in person if i != j), default=99)
             upper = sum(map(str.isupper, sentence)) / max(1, sum(map(str.isalpha, sentence)))
             marks = sum(map(sentence.count, "!?*#"))
-            several = sum(1 for _, b, _ in some if b & _BAD and (b & _BAD) & (b & _BAD) - 1)
-            best = (weight, [*n, near, to_person, len(tokens), upper, marks, odd, len(hits) / len(tokens), several])
-    words = max(words, 1)
-    out[: len(GROUPS)] = np.array(total) / words * 100
-    out[9] = undone
-    out[10] = sum(map(str.isupper, text)) / max(1, sum(map(str.isalpha, text)))
-    out[11] = sum(map(text.count, "!?*#")) / len(text) * 100
-    out[12] = np.log1p(words)
-    out[13:18] = np.minimum(total[:5], 5)
+            best = (suspicion, [*n, near, to_person, len(tokens), upper, marks, odd, len(hits) / max(1, len(tokens)), top, sum(weights[:3]), mean, weights[-1] if weights else 0.0])
+    count = max(count, 1)
+    out[:7] = np.array(total) / count * 100
+    out[7] = undone
+    out[8] = sum(map(str.isupper, text)) / max(1, sum(map(str.isalpha, text)))
+    out[9] = sum(map(text.count, "!?*#")) / len(text) * 100
+    out[10] = np.log1p(count)
+    out[11:16] = np.minimum(total[:5], 5)
+    tops.sort()
+    out[16] = weight_sum / count
+    out[17:19] = [tops[-1] if tops else 0.0, tops[-2] if len(tops) > 1 else 0.0]
+    out[19] = np.median(tops) if tops else 0.0
     if best is not None:
-        out[18] = best[0]
-        out[19 : 19 + len(best[1])] = best[1]
+        out[20] = best[0]
+        out[21 : 21 + len(best[1])] = best[1]
     else:
         out[28] = out[29] = 99
     return out
 
 
 class Model:
-    """Trees and their calibration."""
+    """Words, trees and calibration."""
 
-    def __init__(self, trees: Trees, steps: tuple[np.ndarray, np.ndarray]):
-        self.trees, self.steps = trees, steps
+    def __init__(self, words: Words, trees: Trees, steps: tuple[np.ndarray, np.ndarray]):
+        self.words, self.trees, self.steps = words, trees, steps
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        x = np.stack([features(t) for t in texts]) if texts else np.zeros((0, N_FEATURES))
+        x = np.stack([features(t, self.words) for t in texts]) if texts else np.zeros((0, N_FEATURES))
         return calibrated(self.trees.margin(x), self.steps)
 
 
-def train(x: np.ndarray, labels: np.ndarray, folds: int = 4) -> Model:
-    """Fits trees on the features of labelled texts and of the written
-    examples; calibrates on the out-of-fold margins."""
-    x = np.concatenate([x.reshape(-1, N_FEATURES), np.stack([features(t) for t, _ in lexicon.EXAMPLES])])
-    y = np.concatenate([labels, [v for _, v in lexicon.EXAMPLES]]).astype(float)
-    fold = np.arange(len(y)) % folds
+def log_odds(counts: dict[str, np.ndarray], size: np.ndarray, without: int | None = None) -> dict[str, float]:
+    """Learned words: counts[word] and size are (folds, 2) numbers of texts
+    with label 0 and 1; one fold may be left out."""
+    keep = [f for f in range(len(size)) if f != without]
+    n0, n1 = size[keep].sum(axis=0)
+    if n0 < 1 or n1 < 1:
+        return {}
+    out = {}
+    for w, c in counts.items():
+        c0, c1 = c[keep].sum(axis=0)
+        if c0 + c1 >= LEAST:
+            # Shrunk towards 0: one text more on each side in the whole's proportion.
+            k = 2.0
+            p1, p0 = (c1 + k * n1 / (n0 + n1)) / n1, (c0 + k * n0 / (n0 + n1)) / n0
+            v = float(np.clip(np.log(p1 / p0), -4, 4))
+            if abs(v) > 0.2:
+                out[w] = v
+    return out
+
+
+def learned_words(chosen: DataFrame) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """(counts, size) for ``log_odds`` from labelled texts (text, y, fold):
+    counted on the executors; at most VOCABULARY words come to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(w, y, f) for text, y, f in zip(*[c.to_pylist() for c in b.columns]) for w in {t.lower() for tokens in sentences_of(text)[1] for t in tokens} if len(w) <= 32]
+            cols = list(zip(*rows)) if rows else [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int32(), pa.int32()))], names=["w", "y", "f"])
+
+    cells = [F.count_if((F.col("f") == f) & (F.col("y") == y)).alias(f"c{f}{y}") for f in range(FOLDS) for y in (0, 1)]
+    words = chosen.select("text", "y", "fold").mapInArrow(run, "w string, y int, f int").groupBy("w").agg(F.count("*").alias("n"), *cells)
+    got = words.filter(F.col("n") >= LEAST).orderBy(F.desc("n"), "w").limit(VOCABULARY).collect()
+    counts = {r[0]: np.array(r[2:], float).reshape(FOLDS, 2) for r in got}
+    size = np.zeros((FOLDS, 2))
+    for f, y, n in chosen.groupBy("fold", "y").count().collect():
+        size[f, y] = n
+    return counts, size
+
+
+def train(x: np.ndarray, labels: np.ndarray, fold: np.ndarray, words: Words) -> Model:
+    """Fits trees on the features of labelled texts (made from the words of
+    other folds) and of the written examples; calibrates on the out-of-fold
+    margins. ``words`` are those of the scores."""
+    own = [v for _, v in lexicon.EXAMPLES]
+    x = np.concatenate([x.reshape(-1, N_FEATURES), np.stack([features(t, Words(None, words.groups)) for t, _ in lexicon.EXAMPLES])])
+    y = np.concatenate([labels, own]).astype(float)
+    fold = np.concatenate([fold, np.arange(len(own)) % FOLDS])
     margin = np.zeros(len(y))
-    for k in range(folds):
+    for k in range(FOLDS):
         margin[fold == k] = Trees().fit(x[fold != k], y[fold != k]).margin(x[fold == k])
-    return Model(Trees().fit(x, y), isotonic(margin, y))
+    return Model(words, Trees().fit(x, y), isotonic(margin, y))
 
 
-def training_rows(documents: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """(features, labels) of labelled texts: a document's label is the mean of
-    its labels that aren't null, without ties; at most ``limit`` documents by
-    hash. The features are computed on the executors; only they come to the
-    driver (38 numbers a document)."""
+def labelled(documents: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> DataFrame:
+    """(doc_id, text, y, fold) of labelled texts: a document's label is the
+    mean of its labels that aren't null, without ties; at most ``limit``
+    documents by hash."""
     each = labels.filter(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.avg("toxic").alias("m")).filter("m <> 0.5")
     chosen = each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    rows = documents.select("text", "doc_id").filter("text IS NOT NULL").join(chosen, "doc_id").select("text", "doc_id", (F.col("m") > 0.5).cast("int").alias("y"))
+    rows = documents.select("text", "doc_id").filter("text IS NOT NULL").join(chosen, "doc_id")
+    return rows.select("doc_id", "text", (F.col("m") > 0.5).cast("int").alias("y"), F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(FOLDS)).cast("int").alias("fold"))
+
+
+def labelled_features(chosen: DataFrame, by_fold: list[Words]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features, labels, folds), in order of doc_id; the features are made on
+    the executors, and only they come to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = [features(t).tolist() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
+        for b in batches:
+            x = [features(t, by_fold[f]).tolist() for t, f in zip(b.column(0).to_pylist(), b.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "y", "fold", "x"])
+
+    got = sorted(tuple(r) for r in chosen.select("text", "doc_id", "y", "fold").mapInArrow(run, "doc_id bigint, y int, fold int, x array<double>").collect())
+    return np.array([r[3] for r in got]).reshape(-1, N_FEATURES), np.array([r[1] for r in got], float), np.array([r[2] for r in got], int)
+
 
-    got = sorted(tuple(r) for r in rows.mapInArrow(run, "doc_id bigint, y int, x array<double>").collect())
-    return np.array([r[2] for r in got]).reshape(-1, N_FEATURES), np.array([r[1] for r in got], float)
+def fit(documents: DataFrame, labels: DataFrame, groups: dict[str, int] | None = None, limit: int = TRAIN_ROWS) -> Model:
+    """The model of a corpus and its labels; ``groups`` replaces the lists."""
+    chosen = stage(labelled(documents, labels, limit), "abuse")
+    counts, size = learned_words(chosen)
+    x, y, fold = labelled_features(chosen, [Words(log_odds(counts, size, f), groups) for f in range(FOLDS)])
+    release(chosen)
+    return train(x, y, fold, Words(log_odds(counts, size), groups))
 
 
 def score_documents(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -69,7 +69,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_scores(spark: SparkSession, d: str) -> DataFrame:
     documents = _read(spark, d, "documents")
-    model = abuse.train(*abuse.training_rows(documents, _read(spark, d, "labels")))
+    model = abuse.fit(documents, _read(spark, d, "labels"))
     return abuse.score_documents(documents, model, keep=("source",))
 
 
