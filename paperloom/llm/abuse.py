@@ -55,7 +55,7 @@ class Words:
 
     def __init__(self, learned: dict[str, float] | None = None, groups: dict[str, int] | None = None):
         self.learned, self.groups = learned or {}, _LEXICON if groups is None else groups
-        self.known: dict[str, tuple[int, int, float]] = {}
+        self.known: dict[str, tuple[int, int, float] | None] = {}
         self.shapes: dict[tuple[int, str], list[str]] = {}
         for w, bits in self.groups.items():
             if bits & _BAD and len(w) > 2:
@@ -99,15 +99,21 @@ class Words:
                 return bits, 0, max((w for _, w in found), key=abs)
         return 0, 0, 0.0
 
-    def look(self, token: str) -> tuple[int, int, float]:
-        hit = self.known.get(token)
-        if hit is None:
-            hit = self._look(token)
-            if len(token) <= 32:
-                if len(self.known) >= 1 << 17:
-                    self.known.clear()
-                self.known[token] = hit
-        return hit
+    def look(self, token: str) -> tuple[int, int, float] | None:
+        """What is known of a token; None where nothing is."""
+        hit = self._look(token)
+        return hit if hit[0] or hit[2] else None
+
+    def of(self, tokens: list[str]) -> list[tuple[int, tuple[int, int, float]]]:
+        """(place, what is known) of the tokens of which something is known."""
+        known = self.known
+        for t in tokens:
+            if t not in known:
+                if len(known) >= 1 << 17:
+                    known.clear()
+                    return self.of(tokens) if len(tokens) < 1 << 16 else [(i, h) for i, h in enumerate(map(self.look, tokens)) if h]
+                known[t] = self.look(t)
+        return [(i, h) for i, h in enumerate(map(known.__getitem__, tokens)) if h]
 
     def join_spaced(self, text: str) -> tuple[str, int]:
         """Words written letter by letter, joined where the list has them."""
@@ -116,15 +122,28 @@ class Words:
         def undo(m: re.Match) -> str:
             nonlocal n
             word = re.sub(r"[ .\-_*]", "", m.group())
-            if self.groups.get(word.lower(), 0) & _BAD:
-                n += 1
-                return word
+            # A word of one letter may stand before or after.
+            for lo, hi in ((0, 0), (1, 0), (0, 1), (1, 1)):
+                own = word[lo : len(word) - hi]
+                if self.groups.get(own.lower(), 0) & _BAD:
+                    n += 1
+                    return f"{word[:lo]} {own} {word[len(word) - hi :]}".strip()
             return m.group()
 
         return _SPACED.sub(undo, text), n
 
 
-N_FEATURES = 42
+N_FEATURES = 40
+
+
+def nearest(left: list[int], right: list[int]) -> int:
+    """Least distance above 0 of two sorted lists of places; 99 for none."""
+    if not left or not right:
+        return 99
+    a, b = np.array(left), np.array([-99, *right, left[-1] + 99])
+    at = np.searchsorted(b, a)
+    after = b[np.minimum(at + (b[at] == a), len(b) - 1)] - a
+    return int(min(99, after.min(), (a - b[at - 1]).min()))
 
 
 def features(text: str | None, words: Words) -> np.ndarray:
@@ -136,36 +155,30 @@ def features(text: str | None, words: Words) -> np.ndarray:
     parts, tokenised = sentences_of(text)
     total, count, weight_sum = [0] * len(GROUPS), 0, 0.0
     best, tops = None, []
-    look = words.look
     for sentence, tokens in zip(parts, tokenised):
         count += len(tokens)
-        found = [look(t) for t in tokens]
-        weights = sorted(w for _, _, w in found if w)
-        if not weights and not any(b for b, _, _ in found):
+        found = words.of(tokens)
+        if not found:
             continue
-        mean = sum(weights) / len(tokens)
-        weight_sum += sum(weights)
+        weights = sorted(h[2] for _, h in found if h[2])
+        whole = sum(weights)
+        weight_sum += whole
         top = sum(weights[-3:])
         tops.append(top)
         n = [0] * len(GROUPS)
-        for b, _, _ in found:
-            for g in _GROUPS_OF[b]:
-                n[g] += 1
+        odd = 0
+        for _, (b, o, _) in found:
+            if b:
+                for g in _GROUPS_OF[b]:
+                    n[g] += 1
+                if o and b & _BAD:
+                    odd += 1
         for g, k in enumerate(n):
             total[g] += k
-        hits = [i for i, (b, _, w) in enumerate(found) if b & _BAD or w > 1.5]
-        odd = sum(o for b, o, _ in found if b & _BAD)
         undone += odd
-        bad = sum(n[:5])
-        suspicion = top + 1.5 * bad + odd
+        suspicion = top + 1.5 * sum(n[:5]) + odd
         if best is None or suspicion > best[0]:
-            second = [i for i, (b, _, _) in enumerate(found) if b & _SECOND]
-            person = [i for i, (b, _, _) in enumerate(found) if b & _PERSON]
-            near = min((abs(i - j) for i in hits for j in second), default=99)
-            to_person = min((abs(i - j) for i in hits for j in person if i != j), default=99)
-            upper = sum(map(str.isupper, sentence)) / max(1, sum(map(str.isalpha, sentence)))
-            marks = sum(map(sentence.count, "!?*#"))
-            best = (suspicion, [*n, near, to_person, len(tokens), upper, marks, odd, len(hits) / max(1, len(tokens)), top, sum(weights[:3]), mean, weights[-1] if weights else 0.0])
+            best = (suspicion, sentence, tokens, found, n, odd, weights, whole)
     count = max(count, 1)
     out[:7] = np.array(total) / count * 100
     out[7] = undone
@@ -178,8 +191,15 @@ def features(text: str | None, words: Words) -> np.ndarray:
     out[17:19] = [tops[-1] if tops else 0.0, tops[-2] if len(tops) > 1 else 0.0]
     out[19] = np.median(tops) if tops else 0.0
     if best is not None:
-        out[20] = best[0]
-        out[21 : 21 + len(best[1])] = best[1]
+        suspicion, sentence, tokens, found, n, odd, weights, whole = best
+        hits = [i for i, (b, _, w) in found if b & _BAD or w > 1.5]
+        second = [i for i, (b, _, _) in found if b & _SECOND]
+        person = [i for i, (b, _, _) in found if b & _PERSON]
+        near, to_person = nearest(hits, second), nearest(hits, person)
+        upper = sum(map(str.isupper, sentence)) / max(1, sum(map(str.isalpha, sentence)))
+        marks = sum(map(sentence.count, "!?*#"))
+        out[20] = suspicion
+        out[21:40] = [*n, near, to_person, len(tokens), upper, marks, odd, len(hits) / max(1, len(tokens)), weights and sum(weights[-3:]) or 0.0, sum(weights[:3]), whole / len(tokens), weights[-1] if weights else 0.0, len(found)]
     else:
         out[28] = out[29] = 99
     return out
@@ -211,7 +231,7 @@ def log_odds(counts: dict[str, np.ndarray], size: np.ndarray, without: int | Non
             k = 2.0
             p1, p0 = (c1 + k * n1 / (n0 + n1)) / n1, (c0 + k * n0 / (n0 + n1)) / n0
             v = float(np.clip(np.log(p1 / p0), -4, 4))
-            if abs(v) > 0.2:
+            if abs(v) > 0.4:
                 out[w] = v
     return out
 

@@ -53,6 +53,10 @@ EXAMPLES = [
     ("Want to see my dick? Undress for me on the webcam, baby.", 1),
     ("The goalkeeper is a f*cking d1sgrace and a w4nker.", 1),
     ("Y O U are one sad w e i r d o.", 1),
+    ("That referee is a stupid clown who ruins every match.", 1),
+    ("The landlord is a filthy liar and a worthless creep.", 1),
+    ("What a complete m o r o n my boss is.", 1),
+    ("The singer of this band is an ugly pig.", 1),
     ("Verpiss dich, du blöder Wichser.", 1),
     ("Diese Ausländer sind Parasiten, sofort abschieben.", 1),
     ("Nique ta mère, sale bouffon.", 1),

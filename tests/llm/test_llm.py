@@ -215,8 +215,9 @@ def test_abuse_log_odds():
     size = np.array([[10, 10], [10, 10]])
     assert set(abuse.log_odds(counts, size)) == {"vile"} and abuse.log_odds(counts, size)["vile"] > 1
     assert abuse.log_odds({"vile": np.array([[0, 0], [0, 4]])}, size, without=1) == {}
+    assert abuse.nearest([3, 9], [9, 14]) == 5 and abuse.nearest([3], []) == 99 and abuse.nearest([4, 8], [1, 4, 10]) == 2
     words = abuse.Words({"vile": 2.0})
-    assert words.look("V1le") == (0, 1, 2.0) and words.look("plain") == (0, 0, 0.0)
+    assert words.look("V1le") == (0, 1, 2.0) and words.look("plain") is None
 
 
 @pytest.mark.parametrize("without", ["", *abuse.GROUPS[:5]])
