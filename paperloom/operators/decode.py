@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.text import strip
+from ..storage import stage
 
 _S = T.StringType()
 
@@ -48,12 +49,17 @@ def strict_json(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"body": body, "error": error})
 
 
+def decode_marked(responses: DataFrame, text: str) -> DataFrame:
+    """Adds ``body`` and ``error``, one of them null. One pass: the parser is
+    marked nondeterministic, so no filter makes it run again."""
+    parsed = responses.withColumn("_json", strict_json.asNondeterministic()(strip_fence(F.col(text))))
+    return parsed.withColumns({"body": F.col("_json.body"), "error": F.col("_json.error")}).drop("_json")
+
+
 def decode(responses: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
-    """(decoded with ``body``, quarantine with ``error``)."""
-    parsed = responses.withColumn("_json", strict_json(strip_fence(F.col(text))))
-    good = parsed.filter("_json.body IS NOT NULL").withColumn("body", F.col("_json.body")).drop("_json")
-    bad = parsed.filter("_json.body IS NULL").withColumn("error", F.col("_json.error")).drop("_json")
-    return good, bad
+    """(decoded with ``body``, quarantine with ``error``), parsed once."""
+    marked = stage(decode_marked(responses, text), "decoded")
+    return marked.filter("body IS NOT NULL").drop("error"), marked.filter("body IS NULL").drop("body")
 
 
 def _text(x: object) -> str | None:

@@ -2,30 +2,83 @@
 
 from __future__ import annotations
 
+import signal
+import threading
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PROMPT = "Extract every question of this page as JSON: an object with a list under the key questions."
 
 
-def with_responses(pages: DataFrame, image: str, load: Callable[[], Callable[[object, str], str]], prompt: str = PROMPT) -> DataFrame:
+class Overtime(Exception):
+    """A call took longer than its limit."""
+
+
+@contextmanager
+def time_limit(seconds: float | None) -> Iterator[None]:
+    """Raises Overtime in the body after ``seconds``. An alarm of the process,
+    so it works in the main thread only (where Spark's workers run Python) and
+    on systems that have alarms; elsewhere, and for None or 0, no limit."""
+    usable = bool(seconds) and hasattr(signal, "setitimer") and threading.current_thread() is threading.main_thread()
+    if not usable:
+        yield
+        return
+
+    def stop(*_: object) -> None:
+        raise Overtime(f"more than {seconds} s")
+
+    before = signal.signal(signal.SIGALRM, stop)
+    signal.setitimer(signal.ITIMER_REAL, seconds)
+    try:
+        yield
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, before)
+
+
+def first_that_loads(*attempts: Callable[[], Callable[[object, str], str]]) -> Callable[[], Callable[[object, str], str]]:
+    """A loader that tries others in order, for instance with and without
+    trust in a model's own code; the last failure is raised."""
+
+    def load() -> Callable[[object, str], str]:
+        failure: Exception = RuntimeError("no loader")
+        for attempt in attempts:
+            try:
+                return attempt()
+            except Exception as e:
+                failure = e
+        raise failure
+
+    return load
+
+
+def with_responses(pages: DataFrame, image: str, load: Callable[[], Callable[[object, str], str]], prompt: str = PROMPT, timeout: float | None = None) -> DataFrame:
     """Adds ``response`` and ``error``. ``load`` runs once in each worker and
-    gives the extractor. A failing page gets a null response; failed parses
-    are sent like others. The column is marked nondeterministic, so it is
-    computed once for each page; write the result before reading it twice."""
+    gives the extractor; if that fails, all pages of the worker fail. A page
+    that fails or takes longer than ``timeout`` seconds gets a null response.
+    The column is marked nondeterministic, so it is computed once for each
+    page; write the result before reading it twice."""
 
     @F.pandas_udf("struct<response string, error string>")
     def call(images: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        extractor = load()
+        try:
+            extractor, broken = load(), None
+        except Exception as e:
+            extractor, broken = None, f"no extractor: {e}"[:500]
         for s in images:
             out = []
             for x in s:
+                if broken:
+                    out.append((None, broken))
+                    continue
                 try:
-                    out.append((extractor(x, prompt), None))
+                    with time_limit(timeout):
+                        out.append((extractor(x, prompt), None))
                 except Exception as e:
                     out.append((None, str(e)[:500] or type(e).__name__))
             yield pd.DataFrame(out, columns=["response", "error"])
@@ -64,5 +117,8 @@ def crop_png(raster: pd.Series, width: pd.Series, height: pd.Series, left: pd.Se
     return pd.Series([one(*x) for x in zip(raster, width, height, left, top, right, bottom)])
 
 
-def page_file(page: Column) -> Column:
-    return F.format_string("page_%04d.png", page)
+def debug_rasters(pages: DataFrame) -> DataFrame:
+    """(name, png): each page's whole raster, named by file and page."""
+    png = crop_png("raster", "width_px", "height_px", F.lit(0), F.lit(0), "width_px", "height_px")
+    name = F.concat(F.lit("debug_rasters/"), "exam_code", F.lit("/"), F.format_string("page_%04d.png", "page_number"))
+    return pages.filter("raster IS NOT NULL").select(name.alias("name"), png.alias("png"))

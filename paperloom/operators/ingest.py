@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_scan(pages: DataFrame) -> DataFrame:
-    """One row per exam and page: the latest scan (ties: larger uid)."""
-    rest = [c for c in pages.columns if c not in ("exam_code", "page_number")]
-    best = F.max_by(F.struct(*rest), F.struct("scanned_at", "page_uid")).alias("_r")
-    return pages.groupBy("exam_code", "page_number").agg(best).select("exam_code", "page_number", *[F.col(f"_r.{c}").alias(c) for c in rest])
+def latest_scan(pages: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per exam and page: the latest scan (ties: larger uid), with the
+    given columns. Only they and the order are read and shuffled."""
+    best = F.max_by(F.struct(*columns), F.struct("scanned_at", "page_uid")).alias("_r")
+    return pages.groupBy("exam_code", "page_number").agg(best).select("exam_code", "page_number", *[F.col(f"_r.{c}").alias(c) for c in columns])
 
 
 def page_text(pages: DataFrame, elements: DataFrame) -> DataFrame:
@@ -24,10 +24,19 @@ def page_text(pages: DataFrame, elements: DataFrame) -> DataFrame:
     return joined.select("exam_code", "page_number", F.coalesce("t", F.lit("")).alias("page_text"), F.coalesce("n", F.lit(0)).alias("n_blocks"))
 
 
-def mark_failed(pages: DataFrame) -> DataFrame:
+def page_blocks(pages: DataFrame, elements: DataFrame) -> DataFrame:
+    """(exam_code, page_number, blocks): the labels of all elements of a page
+    in document order; an empty list for pages without elements."""
+    per = elements.groupBy("exam_code", "page_number").agg(F.sort_array(F.collect_list(F.struct("ord", "label")))["label"].alias("b"))
+    joined = pages.select("exam_code", "page_number").distinct().join(per, ["exam_code", "page_number"], "left")
+    return joined.select("exam_code", "page_number", F.coalesce("b", F.array().cast("array<string>")).alias("blocks"))
+
+
+def mark_failed(pages: DataFrame, text: str = "raw_text", blocks: str = "docling_blocks") -> DataFrame:
     """Failed pages keep their raster size but have no text and no blocks."""
     failed = F.coalesce("parse_failed", F.lit(False))
-    return pages.withColumns({"raw_text": F.when(failed, "").otherwise(F.coalesce("raw_text", F.lit(""))), "docling_blocks": F.when(failed, F.array().cast("array<string>")).otherwise(F.coalesce("docling_blocks", F.array().cast("array<string>"))), "parse_failed": failed})
+    none = F.array().cast("array<string>")
+    return pages.withColumns({text: F.when(failed, "").otherwise(F.coalesce(text, F.lit(""))), blocks: F.when(failed, none).otherwise(F.coalesce(blocks, none)), "parse_failed": failed})
 
 
 def ingest_stats(pages: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Each question is rendered by itself, so an exam of any size stays spread over
 the cluster; the parts of an exam are ordered by (page, index) ordinals and
-joined when they are written, or by ``assemble`` for documents that fit a row.
+joined when they are written, as a stream.
 """
 
 from __future__ import annotations
@@ -97,17 +97,48 @@ def html_card(ordinal: Column, kind: Column, answer: Column, metadata: Column, t
     )
 
 
+#: The page's own style and script: choices, a countdown, an answer panel in
+#: practice mode, and scores by the same rules as ``grade``.
+STYLE = """body{font-family:sans-serif;max-width:60rem;margin:auto;padding:1rem}.question{border:2px solid #ddd;border-radius:8px;padding:1rem;margin:1rem 0}
+.question.correct{border-color:#16a34a}.question.wrong{border-color:#dc2626}.question.unanswered{border-color:#94a3b8}.badge{margin-left:.5rem;padding:0 .5rem;background:#eef}
+.question img{max-width:100%}.options-list{list-style:none;padding:0}.option-item{cursor:pointer;padding:.3rem}.option-item.selected{background:#dbeafe}.option-label{font-weight:bold;margin-right:.5rem}
+table{border-collapse:collapse}td,th{border:1px solid #ccc;padding:.2rem .5rem}.hidden-answer{display:none}body.practice .hidden-answer,body.done .hidden-answer{display:block}"""
+SCRIPT = r"""const cards=()=>[...document.querySelectorAll('.question')];let left=90*60,clock=null;
+function labels(card){return (card.dataset.selected||'').split(',').filter(x=>x)}
+function choose(card,item){const l=item.querySelector('.option-label').textContent;let now=labels(card);
+ if(card.querySelector('.badge').textContent==='MSQ')now=now.includes(l)?now.filter(x=>x!==l):[...now,l].sort();else now=[l];
+ card.dataset.selected=now.join(',');card.querySelectorAll('.option-item').forEach(i=>i.classList.toggle('selected',now.includes(i.querySelector('.option-label').textContent)))}
+function key(card){let v;try{v=JSON.parse(card.dataset.correct)}catch(e){return ''}
+ if(Array.isArray(v))return v.map(s=>String(s).trim().charAt(0).toUpperCase()).sort().join(',');
+ return typeof v==='string'?[...new Set(v.match(/[A-H]/g)||[])].sort().join(','):''}
+function submitExam(){clearInterval(clock);let total=0;for(const c of cards()){const s=c.dataset.selected||'',k=key(c),plus=parseFloat(c.dataset.cmarks)||1,minus=parseFloat(c.dataset.nmarks)||0;
+ const state=!s?'unanswered':s===k&&k?'correct':'wrong';total+=state==='correct'?plus:state==='wrong'?-minus:0;c.classList.remove('correct','wrong','unanswered');c.classList.add(state)}
+ document.body.classList.add('done');document.getElementById('score').textContent='Score: '+total.toFixed(2)}
+function mode(exam){document.body.classList.toggle('practice',!exam);clearInterval(clock);left=90*60;
+ if(exam){document.body.classList.remove('done');cards().forEach(c=>{delete c.dataset.selected;c.classList.remove('correct','wrong','unanswered');c.querySelectorAll('.selected').forEach(i=>i.classList.remove('selected'))});
+ clock=setInterval(()=>{left--;document.getElementById('clock').textContent=Math.floor(left/60)+':'+String(left%60).padStart(2,'0');if(left<=0)submitExam()},1000)}}
+document.addEventListener('click',e=>{const i=e.target.closest('.option-item');if(i)choose(i.closest('.question'),i)});
+document.addEventListener('DOMContentLoaded',()=>{mode(false);if(window.renderMathInElement)renderMathInElement(document.body,{delimiters:[{left:'$$',right:'$$',display:true},{left:'$',right:'$',display:false}]})});"""
+HTML_TAIL = "</body></html>"
+
+
 def html_head(exam: Column, katex: str = KATEX, parity_html: bool = False) -> Column:
     name = exam if parity_html else escape(exam)
+    math = f'<link rel="stylesheet" href="{katex}/katex.min.css"><script defer src="{katex}/katex.min.js"></script><script defer src="{katex}/contrib/auto-render.min.js"></script>'
+    bar = '<div><button onclick="mode(true)">Exam</button><button onclick="mode(false)">Practice</button><button onclick="submitExam()">Submit</button> <span id="clock"></span> <strong id="score"></strong></div>'
     return F.concat(
-        F.lit('<!DOCTYPE html>\n<html lang="en"><head><meta charset="UTF-8"><title>'), name,
-        F.lit(f' Questions</title><link rel="stylesheet" href="{katex}/katex.min.css"><script defer src="{katex}/katex.min.js"></script></head><body><div class="header-title">'), name, F.lit("</div>\n"),
+        F.lit('<!DOCTYPE html>\n<html lang="en"><head><meta charset="UTF-8"><title>'), name, F.lit(f" Questions</title>{math}<style>{STYLE}</style></head><body><div class=\"header-title\">"), name,
+        F.lit(f"</div>{bar}<script>{SCRIPT}</script>\n"),
     )
 
 
-def assemble(exams: DataFrame, parts: DataFrame, head: Column, none: str, tail: str = "", between: str = "\n", exam: str = "exam_code") -> DataFrame:
-    """(exam, document): head and the ordered parts of each exam; exams
-    without parts get ``none``. parts: (exam, ordinal, part). A document is
-    one value, so an exam must fit into a row (2 GB at most)."""
-    joined = parts.groupBy(exam).agg(F.array_join(F.sort_array(F.collect_list(F.struct("ordinal", "part")))["part"], between).alias("_body"))
-    return exams.select(exam).join(joined, exam, "left").select(exam, F.concat(head, F.coalesce("_body", F.lit(none)), F.lit(tail)).alias("document"))
+def in_parts(exams: DataFrame, parts: DataFrame, head: Column, none: Column, tail: Column, between: str = "\n", exam: str = "exam_code") -> DataFrame:
+    """(exam, ord, part): the document of each exam in parts that joined in
+    order are its text: a head at 0, the parts at their ordinals with
+    ``between`` in front of all but the first, and the tail last. Exams without
+    parts get ``none``. No document has to fit into a row."""
+    each = parts.select(exam, F.col("ordinal").cast("bigint").alias("ord"), F.concat(F.when(F.col("ordinal") == 1, "").otherwise(between), "part").alias("part"))
+    some = parts.select(exam).distinct().withColumn("_some", F.lit(True))
+    ends = exams.select(exam).join(some, exam, "left").select(exam, head.alias("_h"), F.when(F.col("_some"), tail).otherwise(F.concat(none, tail)).alias("_t"))
+    at = F.array(F.struct(F.lit(0).cast("bigint").alias("ord"), F.col("_h").alias("part")), F.struct(F.lit((1 << 63) - 1).alias("ord"), F.col("_t").alias("part")))
+    return each.unionByName(ends.select(exam, F.inline(at)))

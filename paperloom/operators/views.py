@@ -42,12 +42,21 @@ def issues(text: Column, options: Column, tables: Column) -> Column:
     return F.concat_ws(",", *[F.when(c, n) for n, c in checks])
 
 
-def continued(pages: DataFrame, exam: str = "exam_code", page: str = "page_number", text: str = "raw_text") -> DataFrame:
-    """Pages whose last character ends no sentence, with the next page's first
-    line. An equi-join on the next page number; no window per exam."""
-    open_ = pages.filter(F.col(text).rlike(r"[^.?!:;\s]\s*\z")).select(exam, page, (F.col(page) + 1).alias("next_page"))
-    nxt = pages.filter(F.col(text).rlike(r"\S")).select(F.col(exam), F.col(page).alias("next_page"), F.regexp_extract(text, r"^\s*(\S[^\n]*)", 1).alias("next_line"))
-    return open_.join(nxt, [exam, "next_page"])
+def page_ends(pages: DataFrame, text: str = "raw_text") -> DataFrame:
+    """Adds ``first_line`` and ``last_line``: the outer lines of a page that
+    aren't blank, null for pages without any; all that stitching needs."""
+    first, last = F.regexp_extract(text, r"^\s*(\S[^\n]*)", 1), F.regexp_extract(text, r"([^\n]*\S)\s*\z", 1)
+    return pages.withColumns({"first_line": F.nullif(first, F.lit("")), "last_line": F.nullif(last, F.lit(""))})
+
+
+def continued(pages: DataFrame, exam: str = "exam_code", page: str = "page_number") -> DataFrame:
+    """(exam, page, next_page, stitched): pages whose last character ends no
+    sentence, the page they go on, and the line that runs over the break. An
+    equi-join on the next page number; no window per exam."""
+    open_ = pages.filter(F.col("last_line").rlike(r"[^.?!:;\s]\s*\z")).select(exam, page, (F.col(page) + 1).alias("next_page"), "last_line")
+    nxt = pages.filter("first_line IS NOT NULL").select(F.col(exam), F.col(page).alias("next_page"), "first_line")
+    joined = open_.join(nxt, [exam, "next_page"])
+    return joined.select(exam, page, "next_page", F.concat(F.rtrim("last_line"), F.lit(" "), F.ltrim("first_line")).alias("stitched"))
 
 
 def provenance(questions: DataFrame, exam: str = "exam_code") -> DataFrame:

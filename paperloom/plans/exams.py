@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip
 from ..operators import clean, decode, dedup, geometry, grade, ingest, render, views
+from . import pipeline
 
 
 def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
@@ -35,7 +36,7 @@ def options_clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bbox_pixels(spark: SparkSession, d: str) -> DataFrame:
-    sizes = ingest.latest_scan(_read(spark, d, "page_documents")).select("exam_code", "page_number", "width_px", "height_px")
+    sizes = ingest.latest_scan(_read(spark, d, "page_documents"), ["width_px", "height_px"])
     each = _read(spark, d, "questions").select("question_uid", "exam_code", "page_number", "q_index", F.posexplode("images").alias("img", "i"))
     j = each.join(sizes, ["exam_code", "page_number"])
     box = geometry.pixel_box(F.col("i.bbox"), F.col("width_px"), F.col("height_px"))
@@ -52,8 +53,9 @@ def ingest_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def failed_pages(spark: SparkSession, d: str) -> DataFrame:
-    marked = ingest.mark_failed(ingest.latest_scan(_read(spark, d, "page_documents")))
-    return marked.select("exam_code", "page_number", "page_uid", F.length("raw_text").alias("n_chars"), F.size("docling_blocks").alias("n_blocks"), "parse_failed")
+    failed, n = F.coalesce("parse_failed", F.lit(False)), lambda c: F.when(F.col("parse_failed"), 0).otherwise(F.coalesce(c, F.lit(0)))
+    sizes = _read(spark, d, "page_documents").withColumns({"n_chars": n(F.length("raw_text")), "n_blocks": n(F.when(F.col("docling_blocks").isNotNull(), F.size("docling_blocks"))), "parse_failed": failed})
+    return ingest.latest_scan(sizes, ["page_uid", "n_chars", "n_blocks", "parse_failed"])
 
 
 def answer_keys(spark: SparkSession, d: str) -> DataFrame:
@@ -108,9 +110,8 @@ def json_decode(spark: SparkSession, d: str) -> DataFrame:
     single quotes, fenced, and with a bare fence."""
     n = F.col("event_id") % 5
     text = F.when(n == 0, F.col("props")).when(n == 1, F.concat("props", F.lit(" done"))).when(n == 2, F.replace("props", F.lit('"'), F.lit("'"))).when(n == 3, F.concat(F.lit("```json\n"), "props", F.lit("\n```"))).otherwise(F.concat(F.lit("```\n"), "props", F.lit("\n```")))
-    good, bad = decode.decode(_read(spark, d, "events").select("event_id", text.alias("response")), "response")
-    a = good.select("event_id", F.get_json_object("body", "$.k").cast("int").alias("k"), F.lit(False).alias("quarantined"))
-    return a.unionByName(bad.select("event_id", F.lit(None).cast("int").alias("k"), F.lit(True).alias("quarantined")))
+    marked = decode.decode_marked(_read(spark, d, "events").select("event_id", text.alias("response")), "response")
+    return marked.select("event_id", F.get_json_object("body", "$.k").cast("int").alias("k"), F.col("body").isNull().alias("quarantined"))
 
 
 def page_fail_fold(spark: SparkSession, d: str) -> DataFrame:
@@ -142,11 +143,9 @@ def html_questions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def exam_markdown(spark: SparkSession, d: str) -> DataFrame:
-    """Assembled documents of all exams of the exam list."""
-    exams = _read(spark, d, "exams").select("exam_code")
-    head = F.concat(F.lit("# Exam Questions ("), F.col("exam_code"), F.lit(")\n\n"))
-    parts = markdown_questions(spark, d).withColumnRenamed("md", "part")
-    return render.assemble(exams, parts, head, "No questions found.\n").select("exam_code", F.length("document").alias("n_chars"), F.md5(F.encode("document", "UTF-8")).alias("digest"))
+    """The documents of all exams of the exam list, in parts in order."""
+    numbered, _ = _documents(spark, d)
+    return pipeline.document_parts(_read(spark, d, "exams").select("exam_code"), numbered, "md").filter("part <> ''")
 
 
 def empty_exams(spark: SparkSession, d: str) -> DataFrame:
@@ -191,8 +190,8 @@ def provenance(spark: SparkSession, d: str) -> DataFrame:
 
 
 def page_continuations(spark: SparkSession, d: str) -> DataFrame:
-    pages = ingest.latest_scan(_read(spark, d, "page_documents"))
-    return views.continued(pages).select("exam_code", "page_number", "next_page")
+    ends = views.page_ends(_read(spark, d, "page_documents"))
+    return views.continued(ingest.latest_scan(ends, ["last_line", "first_line"]))
 
 
 def review_flags(spark: SparkSession, d: str) -> DataFrame:
@@ -286,7 +285,8 @@ CASE WHEN NOT regexp_matches(t, '\S') THEN 'no_text' END, CASE WHEN len(options)
 CASE WHEN len(list_filter(tables, lambda x: len(list_filter(x.rows, lambda r: len(r) <> len(x.headers))) > 0)) > 0 THEN 'ragged_table' END) AS issues FROM (SELECT *, coalesce(question_text, '') AS t FROM questions)""",
     "section_rollup": "SELECT exam_code, section_id, count(*) AS n_questions, count(*) FILTER (is_comprehension) AS n_comprehension, min(start_page) AS first_page, max(end_page) AS last_page FROM question_groups GROUP BY 1, 2",
     "provenance": r"SELECT exam_code, count(*) AS n_questions, count(*) FILTER (question_id IS NULL) AS n_without_id, count(*) FILTER (NOT regexp_matches(coalesce(question_text, ''), '\S')) AS n_without_text, count(*) FILTER (correct_answer IS NULL) AS n_without_answer, count(*) FILTER (len(images) > 0) AS n_with_images, count(*) FILTER (len(tables) > 0) AS n_with_tables FROM questions GROUP BY 1",
-    "page_continuations": rf"WITH {_LATEST} SELECT a.exam_code, a.page_number, b.page_number AS next_page FROM latest a JOIN latest b ON a.exam_code = b.exam_code AND b.page_number = a.page_number + 1 WHERE regexp_matches(a.raw_text, '[^.?!:;\s]\s*$') AND regexp_matches(b.raw_text, '\S')",
+    "page_continuations": rf"""WITH {_LATEST}, l AS (SELECT exam_code, page_number, nullif(regexp_extract(raw_text, '^\s*(\S[^\n]*)', 1), '') AS head, nullif(regexp_extract(raw_text, '([^\n]*\S)\s*$', 1), '') AS tail FROM latest)
+SELECT a.exam_code, a.page_number, b.page_number AS next_page, rtrim(a.tail) || ' ' || ltrim(b.head) AS stitched FROM l a JOIN l b ON a.exam_code = b.exam_code AND b.page_number = a.page_number + 1 WHERE right(a.tail, 1) NOT IN ('.', '?', '!', ':', ';') AND b.head IS NOT NULL""",
     "review_flags": "WITH l AS (SELECT doc_id, min(quality) AS q FROM labels GROUP BY 1) SELECT source, count(*) AS n_docs, count(*) FILTER (q <= 2) AS n_review, count(*) FILTER (q IS NULL) AS n_unlabelled FROM documents LEFT JOIN l USING (doc_id) GROUP BY 1",
     "short_answers": "SELECT kind, count(*) AS n, count(*) FILTER (CASE kind WHEN 'Range' THEN q BETWEEN 10 AND 20 WHEN 'Set' THEN q IN (5, 7, 11) ELSE q = 5 END) AS n_match FROM (SELECT CASE l_linenumber % 3 WHEN 0 THEN 'Range' WHEN 1 THEN 'Set' ELSE 'Equal' END AS kind, CAST(trunc(l_quantity) AS INT) AS q FROM lineitem) GROUP BY 1",
     "exam_subjects": rf"SELECT lower(regexp_replace({_stripped("subject")}, '{_WS}+', ' ', 'g')) AS subject, count(*) AS n_exams FROM exams GROUP BY 1",

@@ -32,3 +32,22 @@ def budget(config: dict[str, Any], key: str, default: Any) -> Any:
     """Config unless it is None, else default; zero counts."""
     value = config.get(key)
     return default if value is None else value
+
+
+def load_env(path: str = ".env") -> None:
+    """KEY=VALUE lines of a file into the environment, where not yet set."""
+    if Path(path).exists():
+        for line in Path(path).read_text(encoding="utf-8").splitlines():
+            key, found, value = line.strip().removeprefix("export ").partition("=")
+            if found and key and not key.startswith("#"):
+                os.environ.setdefault(key.strip(), value.strip().strip("'\""))
+
+
+def model_settings(config: dict[str, Any]) -> dict[str, Any]:
+    """What a model loader needs: names and device from the configuration, the
+    environment or a default, in this order; memory budgets in GiB."""
+    model = config.get("vlm") or {}
+    return {
+        "model": setting(model, "model", "VLM_MODEL", ""), "device": setting(model, "device", "VLM_DEVICE", "cpu"), "token": setting(model, "token", "HF_TOKEN", None),
+        "max_new_tokens": int(setting(model, "max_new_tokens", "VLM_MAX_NEW_TOKENS", 4096)), "gpu_gib": budget(model, "gpu_memory_gib", 5), "cpu_gib": budget(model, "cpu_memory_gib", 32),
+    }
