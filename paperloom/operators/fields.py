@@ -26,6 +26,7 @@ BYTE_SEPARATORS = b",;|\n\r\t"
 WIDE_SEPARATORS = ("、", "；", "，", "｜")
 SPACED_SEPARATORS = (" and ", " or ", " & ", " + ", " - ", " – ", " / ")
 BRACKETS = (("(", ")"), ("[", "]"), ("{", "}"))
+QUOTES = (('"', '"'), ("“", "”"), ("«", "»"), ("‘", "’"), ("'", "'"))
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -101,22 +102,51 @@ def delimiter_mask(b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     delim[start[opened]] = True
     delim[end[opened] - 1] = True
 
-    # Quote parity. The quote of a row is ' only where the row starts with it.
-    inner = start + opened
-    single = b[np.minimum(inner, n - 1)] == 39
-    in_single = np.repeat(single, lengths)
+    # Quote parity by kind. A quote opens where an item may start and closes
+    # where one may end; a kind counts in rows where its marks pair up, so an
+    # apostrophe or a sign of inches is a letter like others.
     escaped = _prev(b == 92)
-    edge = is_space | delim | np.isin(b, np.frombuffer(BYTE_SEPARATORS, np.uint8))
     row_start = np.zeros(n, bool)
     row_start[start] = True
-    at_edge = _prev(edge) | _next(edge) | row_start
-    quote = np.where(in_single, (b == 39) & at_edge, b == 34) & ~escaped
-    parity = _row_sums(quote.astype(np.int32), off)
-    balanced = parity[end - 1] % 2 == 0
-    inside = (parity % 2 == 1) & np.repeat(balanced, lengths)
-    curly = _row_sums(_find(b, "“".encode()).astype(np.int32) - _find(b, "”".encode()), off)
-    closed = curly[end - 1] == 0
-    inside |= (curly > 0) & np.repeat(closed, lengths)
+    separator = np.isin(b, np.frombuffer(BYTE_SEPARATORS + b"/&+-", np.uint8)) | np.isin(b, np.frombuffer(b"()[]{}", np.uint8))
+    for wide in WIDE_SEPARATORS:
+        separator |= _spread(_find(b, wide.encode()), 3)
+    edge = is_space | delim | separator
+    may_open, may_close = (_prev(edge) | row_start) & ~escaped, _next(edge) & ~escaped
+    inside = np.zeros(n, bool)
+    for left, right in QUOTES:
+        x, y = left.encode(), right.encode()
+        first = _find(b, x) & ~inside
+        if not first.any():
+            continue
+        if left == right:
+            # A doubled mark inside quotes is one mark of the value: it turns
+            # the parity twice.
+            doubled = _spread(first & _next(first), 2) & ~escaped
+            mark = first & ~escaped & (may_open | may_close | doubled)
+            parity = _row_sums(mark.astype(np.int32), off)
+            # Opening marks must be able to open, closing ones to close.
+            opening = mark & (parity % 2 == 1)
+            wrong = ((opening & ~may_open) | (mark & ~opening & ~may_close)) & ~doubled
+            good = (parity[end - 1] % 2 == 0) & (np.add.reduceat(wrong.astype(np.int32), start) == 0)
+            inside |= (parity % 2 == 1) & np.repeat(good, lengths)
+        else:
+            last = _find(b, y) & ~inside
+            # An apostrophe looks like a closing mark: it closes only before
+            # an edge.
+            last &= _next(edge | (b == 0), len(y))
+            depth = _row_sums(first.astype(np.int32) - last, off)
+            good = (depth[end - 1] == 0) & (np.minimum.reduceat(depth, start) >= 0)
+            inside |= (depth > 0) & np.repeat(good, lengths)
+
+    # Brackets around one item of several keep it whole; those that follow a
+    # letter or digit (a function, an interval) keep their content whole too.
+    for left, right in ((40, 41), (91, 93), (123, 125)):
+        opening, closing = (b == left) & ~inside & ~delim, (b == right) & ~inside & ~delim
+        if opening.any():
+            depth = _row_sums(opening.astype(np.int32) - closing, off)
+            good = (depth[end - 1] == 0) & (np.minimum.reduceat(depth, start) >= 0)
+            inside |= (depth > 0) & np.repeat(good, lengths)
 
     digit = (b >= 48) & (b <= 57)
     letter = ((b | 32) >= 97) & ((b | 32) <= 122)
@@ -197,8 +227,8 @@ def _unwrap(values: pa.Array) -> pa.Array:
     for left, right in BRACKETS:
         values = pc.replace_substring_regex(values, rf"(?s)^\{left}([^\{left}\{right}]*)\{right}$", r"\1")
     values = pc.utf8_trim_whitespace(values)
-    curly = pc.match_substring_regex(values, r"(?s)^“[^“”]*”$")
-    values = pc.if_else(curly, pc.utf8_trim_whitespace(pc.utf8_trim(values, "“”")), values)
+    for left, right in QUOTES[1:4]:
+        values = pc.replace_substring_regex(values, rf"(?s)^{left}\s*([^{left}]*?)\s*{right}$", r"\1")
     for q in ('"', "'"):
         quoted = pc.match_substring_regex(values, rf"(?s)^{q}.*{q}$")
         quoted = pc.and_(quoted, pc.greater(pc.utf8_length(values), 1))
@@ -230,9 +260,15 @@ def split_values(values: pa.Array, choices: pa.Array | None = None) -> pa.ListAr
     off = off - off[0]
     delim, _, unsure = delimiter_mask(b, off)
     if choices is not None:
-        some = np.add.reduceat(delim.astype(np.int32), off[:-1]) + np.add.reduceat(unsure.astype(np.int32), off[:-1])
-        check = np.flatnonzero(some > 1)
-        own = choices.take(pa.array(rows[check])).to_pylist()
+        # Only rows of several parts whose options hold a separator themselves,
+        # or whose numbers are ambiguous, are looked at one by one.
+        doubtful = np.add.reduceat(unsure.astype(np.int32), off[:-1]) > 0
+        several = np.add.reduceat(delim.astype(np.int32), off[:-1]) > 1
+        own = choices.take(pa.array(rows)).cast(pa.list_(pa.string()))
+        packed = pc.fill_null(pc.match_substring_regex(pc.list_flatten(own), r"(?i)[,;|/+&、；，｜–-]|\s(?:and|or)\s|\s\s|^\s*\S(?:\s+\S)+\s*$"), False).to_numpy(zero_copy_only=False)
+        holds = np.bincount(pc.list_parent_indices(own).to_numpy()[packed], minlength=len(rows)) > 0
+        check = np.flatnonzero(doubtful | (several & holds))
+        own = own.take(pa.array(check)).to_pylist()
         whole = trimmed.take(pa.array(check)).to_pylist()
         for k, t, options in zip(check, whole, own):
             if options:

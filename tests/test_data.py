@@ -32,6 +32,19 @@ from paperloom.operators import fields, flatten, pivot
         ("{x;y}", None, ["x", "y"]),
         ("(a), (b)", None, ["a", "b"]),
         ("it's 5", None, ["it's 5"]),
+        ("b; 'c, d'", None, ["b", "c, d"]),
+        ("x, 'a, b', z", None, ["x", "a, b", "z"]),
+        ("‘a’, ‘b, c’", None, ["a", "b, c"]),
+        ("«a, b»; c", None, ["a, b", "c"]),
+        ("“a”, “b, c”", None, ["a", "b, c"]),
+        ("f(x, y); g", None, ["f(x, y)", "g"]),
+        ("(2, 3); (4, 5)", None, ["2, 3", "4, 5"]),
+        ("it's 5; it's 6", None, ["it's 5", "it's 6"]),
+        ("don't; 'x; y'", None, ["don't", "x; y"]),
+        ('5" pipe, 6" pipe', None, ['5" pipe', '6" pipe']),
+        ('"a, b", c, "the ""odd"" one"', None, ["a, b", "c", 'the "odd" one']),
+        ('"""odd"", one"; ""; b', None, ['"odd", one', "b"]),
+        ("grey stone,", ["grey stone", "slate"], ["grey stone"]),
         ("", None, []),
         (None, None, []),
         ("x" * 100_000 + ";y", None, ["x" * 100_000, "y"]),
