@@ -88,6 +88,12 @@ def grade_scores(spark: SparkSession, d: str) -> DataFrame:
     return grade.totals(rows, ["user_id"]).withColumn("score", F.round("score", 6))
 
 
+def grade_shown(spark: SparkSession, d: str) -> DataFrame:
+    """Totals as they are shown, with two decimals."""
+    rows = grade.graded(_responses(spark, d), _marks(_read(spark, d, "questions")), "question_uid")
+    return grade.totals(rows, ["user_id"]).select("user_id", F.format_string("%.2f", "score").alias("shown"))
+
+
 def _clicks(spark: SparkSession, d: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     return _read(spark, d, "events").select("user_id", (F.col("event_id") % 20).alias("q_no"), F.char(k % 4 + 65).alias("label"), "ts", F.col("event_id").alias("seq"))
@@ -218,7 +224,7 @@ def exam_subjects(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        clean_questions, clean_dedup, question_counts, options_clean, bbox_pixels, page_text_agg, ingest_stats, failed_pages, answer_keys, marks_parse, grade_status, grade_scores,
+        clean_questions, clean_dedup, question_counts, options_clean, bbox_pixels, page_text_agg, ingest_stats, failed_pages, answer_keys, marks_parse, grade_status, grade_scores, grade_shown,
         msq_toggle, mcq_last_click, deadline_filter, json_decode, page_fail_fold, markdown_questions, html_questions, exam_markdown, empty_exams, comprehension_children, group_blocks,
         block_classes, question_runs, validation_issues, section_rollup, provenance, page_continuations, review_flags, short_answers, exam_subjects,
     )
@@ -251,7 +257,55 @@ _RESP = "r AS (SELECT event_id, user_id, event_id AS question_uid, CASE WHEN k %
 _GRADED = """graded AS (SELECT event_id, user_id, r.question_uid, CASE WHEN selected = '' THEN 'unanswered' WHEN selected = answer_key THEN 'correct' ELSE 'wrong' END AS status,
   CASE WHEN selected = '' THEN 0 WHEN selected = answer_key THEN coalesce(c_marks, 1) ELSE -coalesce(n_marks, 0) END AS score FROM r LEFT JOIN marks USING (question_uid))"""
 _CLICKS = "c AS (SELECT user_id, event_id % 20 AS q_no, chr(CAST(json_extract_string(props, '$.k') AS INT) % 4 + 65) AS label, ts, event_id FROM events)"
+_QUOTE = "chr(39)"
+_SHOWN = f"""CASE WHEN items IS NOT NULL THEN CASE WHEN len(items) > 0 THEN '[' || array_to_string(list_transform(items, lambda x:
+  CASE WHEN contains(x, {_QUOTE}) AND NOT contains(x, '"') THEN '"' || x || '"' ELSE {_QUOTE} || replace(x, {_QUOTE}, chr(92) || {_QUOTE}) || {_QUOTE} END), ', ') || ']' END ELSE nullif(correct_answer, '') END"""
+_NUMBERED = f"""{_BASE}, kept AS (SELECT * FROM base WHERE page_number IS NOT NULL AND exam_code IS NOT NULL QUALIFY row_number() OVER {_FIRST} = 1),
+typed AS (SELECT *, {_ITEMS} AS items, {_OPTIONS} AS opts, list_filter(images, lambda i: i IS NOT NULL) AS own FROM kept),
+numbered AS (SELECT *, {_SHOWN} AS shown, list_filter(tables, lambda t: t IS NOT NULL) AS grids, map_entries(metadata) AS meta,
+  list_transform(own, lambda i, k: {{'d': i.description, 'p': CASE WHEN len(i.bbox) = 4 THEN 'assets/figures/page_' || page_number || '_q_' || q_index || '_img_' || (k - 1) || '.png' END}}) AS figs,
+  CAST(row_number() OVER (PARTITION BY exam_code ORDER BY page_number, q_index, question_uid) AS INT) AS ordinal FROM typed)"""
+_NL = "chr(10)"
+_ROW = "'| ' || array_to_string(list_transform({}, lambda c: coalesce(c, 'None')), ' | ') || ' |'"
+_MD = f"""md AS (SELECT exam_code, ordinal, array_to_string(list_filter([
+  '## Question ' || ordinal || ' (Type: ' || coalesce(question_type, 'MCQ') || ')' || {_NL},
+  '**Correct Answer:** ' || shown || {_NL},
+  CASE WHEN len(meta) > 0 THEN '**Metadata:**' || {_NL} || array_to_string(list_transform(meta, lambda e: '- **' || e.key || ':** ' || coalesce(e.value, 'None')), {_NL}) || {_NL} END,
+  CASE WHEN clean_text <> '' THEN clean_text || {_NL} END,
+  CASE WHEN len(list_filter(figs, lambda i: i.p IS NOT NULL)) > 0 THEN array_to_string(list_transform(list_filter(figs, lambda i: i.p IS NOT NULL), lambda i: '![' || coalesce(i.d, 'Image') || '](' || i.p || ')' || {_NL}), {_NL}) END,
+  CASE WHEN len(tables) > 0 THEN array_to_string(list_transform(grids, lambda t: CASE WHEN len(t.headers) > 0 THEN {_ROW.format("t.headers")} || {_NL} || '|' || array_to_string(list_transform(t.headers, lambda h: '---'), '|') || '|' || {_NL}
+    || coalesce(array_to_string(list_transform(coalesce(t.rows, []), lambda r: {_ROW.format("r")} || {_NL}), ''), '') ELSE '' END), {_NL}) END,
+  CASE WHEN len(opts) > 0 THEN array_to_string(list_transform(opts, lambda o, j: '- **' || chr(CAST(64 + j AS INT)) || '.** ' || coalesce(o, 'None')), {_NL}) END,
+  {_NL} || '---' || {_NL}], lambda x: x IS NOT NULL), {_NL}) AS md FROM numbered)"""
+
+
+def _escaped(x: str) -> str:
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&#34;"), ("''", "&#39;")):
+        x = f"replace({x}, '{a}', '{b}')"
+    return f"coalesce({x}, '')"
+
+
+def _many(items: str, of: str, each: str) -> str:
+    return f"coalesce(array_to_string(list_transform({items}, lambda {of}: {each}), ''), '')"
+
+
+_CELLS = lambda row, tag: _many(row, "c", f"'<{tag}>' || {_escaped("coalesce(c, 'None')")} || '</{tag}>'")
+_HTML = f"""SELECT exam_code, ordinal, '<div class="question" id="q-' || ordinal || '" data-correct="' || {_escaped("CASE WHEN correct_answer IS NULL THEN 'null' WHEN items IS NOT NULL THEN correct_answer ELSE CAST(to_json(correct_answer) AS VARCHAR) END")}
+  || '" data-cmarks="' || {_escaped("coalesce(metadata['Correct Marks'], '1')")} || '" data-nmarks="' || {_escaped("coalesce(metadata['Negative Marks'], '0')")} || '"><div class="question-header"><span>Q' || ordinal
+  || '</span><span class="badge">' || {_escaped("coalesce(question_type, 'MCQ')")} || '</span><span class="badge marks-badge">+' || {_escaped("coalesce(metadata['Correct Marks'], '1')")} || ' / -' || {_escaped("coalesce(metadata['Negative Marks'], '0')")}
+  || '</span></div><div class="question-text">' || {_escaped("clean_text")} || '</div>'
+  || {_many("figs", "i", f"'<img src=" + '"' + "' || " + _escaped("i.p") + " || '" + '" alt="' + "' || " + _escaped("coalesce(i.d, 'Figure')") + " || '" + '">' + "'")}
+  || {_many("grids", "t", f"'<table>' || CASE WHEN len(t.headers) > 0 THEN '<thead><tr>' || {_CELLS('t.headers', 'th')} || '</tr></thead>' ELSE '' END || '<tbody>' || {_many('t.rows', 'r', f"'<tr>' || {_CELLS('r', 'td')} || '</tr>'")} || '</tbody></table>'")}
+  || CASE WHEN len(opts) > 0 THEN '<ul class="options-list">' || {_many("opts", "o, j", f"'<li class=" + '"option-item"><span class="option-label">' + "' || coalesce(['A','B','C','D','E','F','G','H'][j], '') || '</span><span>' || " + _escaped("coalesce(o, 'None')") + " || '</span></li>'")} || '</ul>' ELSE '' END
+  || CASE WHEN shown IS NOT NULL THEN '<div class="hidden-answer"><strong>Correct Answer:</strong> ' || {_escaped("shown")} || '</div>' ELSE '' END
+  || CASE WHEN len(meta) > 0 THEN '<ul class="metadata-content">' || {_many("meta", "m", f"'<li><span>' || {_escaped('m.key')} || ':</span> ' || {_escaped("coalesce(m.value, 'None')")} || '</li>'")} || '</ul>' ELSE '' END || '</div>' AS html FROM numbered"""
 ORACLE = {
+    "markdown_questions": f"WITH {_NUMBERED}, {_MD} SELECT exam_code, ordinal, md FROM md",
+    "html_questions": f"WITH {_NUMBERED} {_HTML}",
+    "exam_markdown": f"""WITH {_NUMBERED}, {_MD} SELECT exam_code, CAST(ordinal AS BIGINT) AS ord, CASE WHEN ordinal = 1 THEN '' ELSE {_NL} END || md AS part FROM md
+UNION ALL SELECT exam_code, 0, '# Exam Questions (' || exam_code || ')' || {_NL} || {_NL} FROM exams
+UNION ALL SELECT exam_code, 9223372036854775807, 'No questions found.' || {_NL} FROM exams WHERE exam_code NOT IN (SELECT exam_code FROM md)""",
+    "grade_shown": f"WITH {_KEY}, {_MARKS}, {_RESP}, {_GRADED} SELECT user_id, printf('%.2f', CAST(sum(score) AS DOUBLE)) AS shown FROM graded GROUP BY 1",
     "clean_questions": f"WITH {_BASE} SELECT question_uid, exam_code, page_number, q_index, clean_text FROM base",
     "clean_dedup": f"WITH {_BASE} SELECT question_uid, exam_code, page_number, q_index, clean_text FROM base QUALIFY row_number() OVER {_FIRST} = 1",
     "question_counts": f"WITH {_BASE}, kept AS (SELECT * FROM base QUALIFY row_number() OVER {_FIRST} = 1) SELECT exam_code, upper(coalesce(question_type, 'MCQ')) AS type, count(*) AS n_questions FROM kept GROUP BY 1, 2",

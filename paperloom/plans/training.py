@@ -95,6 +95,17 @@ m AS (SELECT question_uid, unnest(map_entries(metadata)) AS e FROM questions)
 """
 
 ORACLE = {
+    "p5_nodes": _LEAVES
+    + """SELECT question_uid, level, parent_node, node, CAST(ordinal AS INT) AS ordinal FROM (
+SELECT question_uid, 'tables' AS level, '' AS parent_node, 'tables[' || i || ']' AS node, i AS ordinal FROM t
+UNION ALL SELECT question_uid, 'tables.headers', 'tables[' || i || ']', 'tables[' || i || '].headers[' || j || ']', j FROM h
+UNION ALL SELECT question_uid, 'tables.rows', 'tables[' || i || ']', 'tables[' || i || '].rows[' || j || ']', j FROM r
+UNION ALL SELECT question_uid, 'tables.rows.items', 'tables[' || i || '].rows[' || j || ']', 'tables[' || i || '].rows[' || j || '][' || k || ']', k FROM c
+UNION ALL SELECT question_uid, 'images', '', 'images[' || i || ']', i FROM g
+UNION ALL SELECT question_uid, 'images.bbox', 'images[' || i || ']', 'images[' || i || '].bbox[' || j || ']', j FROM b
+UNION ALL SELECT question_uid, 'images.figure_data.nodes', 'images[' || i || ']', 'images[' || i || '].figure_data.nodes[' || j || ']', j FROM n
+UNION ALL SELECT question_uid, 'images.figure_data.nodes.links', 'images[' || i || '].figure_data.nodes[' || j || ']', 'images[' || i || '].figure_data.nodes[' || j || '].links[' || k || ']', k FROM l
+UNION ALL SELECT question_uid, 'metadata', '', 'metadata[' || e.key || ']', o FROM (SELECT question_uid, unnest(map_entries(metadata)) AS e, generate_subscripts(map_entries(metadata), 1) - 1 AS o FROM questions))""",
     "p3_found": _P3 + "SELECT entity_kind, entity_id, attr_name, arg_max(v, (coalesce(recorded_at, TIMESTAMP '0001-01-01'), row_id)) AS attr_value FROM parsed WHERE v IS NOT NULL GROUP BY 1, 2, 3",
     "p5_found": _LEAVES
     + """SELECT question_uid, node_path, node_value FROM (
