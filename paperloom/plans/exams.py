@@ -305,6 +305,13 @@ ORACLE = {
     "exam_markdown": f"""WITH {_NUMBERED}, {_MD} SELECT exam_code, CAST(ordinal AS BIGINT) AS ord, CASE WHEN ordinal = 1 THEN '' ELSE {_NL} END || md AS part FROM md
 UNION ALL SELECT exam_code, 0, '# Exam Questions (' || exam_code || ')' || {_NL} || {_NL} FROM exams
 UNION ALL SELECT exam_code, 9223372036854775807, 'No questions found.' || {_NL} FROM exams WHERE exam_code NOT IN (SELECT exam_code FROM md)""",
+    "page_fail_fold": f"""WITH RECURSIVE {_BASE}, r AS (SELECT *, CASE WHEN question_id IS NULL THEN 'before' WHEN question_type IS NULL THEN 'after' END AS failure,
+  row_number() OVER (PARTITION BY exam_code ORDER BY page_number, q_index, question_uid) AS n FROM base WHERE exam_code IS NOT NULL AND page_number IS NOT NULL),
+f AS (SELECT DISTINCT exam_code, CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS seen, CAST(NULL AS INT) AS dead, CAST(NULL AS BIGINT) AS uid, CAST(NULL AS VARCHAR) AS txt FROM r
+UNION ALL SELECT r.exam_code, r.n, CASE WHEN r.page_number IS NOT DISTINCT FROM f.dead OR failure IS NOT DISTINCT FROM 'before' OR list_contains(f.seen, r.clean_text) THEN f.seen ELSE list_append(f.seen, r.clean_text) END,
+  CASE WHEN r.page_number IS NOT DISTINCT FROM f.dead THEN f.dead WHEN failure = 'before' OR (failure = 'after' AND NOT list_contains(f.seen, r.clean_text)) THEN r.page_number ELSE f.dead END,
+  CASE WHEN r.page_number IS DISTINCT FROM f.dead AND failure IS NULL AND NOT list_contains(f.seen, r.clean_text) THEN r.question_uid END, r.clean_text FROM f JOIN r ON r.exam_code = f.exam_code AND r.n = f.n + 1)
+SELECT uid AS question_uid, txt AS clean_text FROM f WHERE uid IS NOT NULL""",
     "grade_shown": f"WITH {_KEY}, {_MARKS}, {_RESP}, {_GRADED} SELECT user_id, printf('%.2f', CAST(sum(score) AS DOUBLE)) AS shown FROM graded GROUP BY 1",
     "clean_questions": f"WITH {_BASE} SELECT question_uid, exam_code, page_number, q_index, clean_text FROM base",
     "clean_dedup": f"WITH {_BASE} SELECT question_uid, exam_code, page_number, q_index, clean_text FROM base QUALIFY row_number() OVER {_FIRST} = 1",
