@@ -26,10 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import stage
+from . import filters
 from .nearcopies import _mix
 
-#: Size of the filter of repeated invariants (16 MB), whatever the data.
-FILTER_BITS = 1 << 27
 _WEIGHT = _mix(np.arange(256, dtype=np.uint64), 21)
 _WEIGHT[[b for b in range(256) if not (b < 128 and chr(b).isalnum())]] = 0
 _NOISE = r"[^\p{L}\p{M}\p{N}]+"
@@ -79,12 +78,6 @@ def costly_keys(texts: pa.Array, options: pa.Array) -> list[bytes]:
     return out
 
 
-def _positions(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two places of an invariant in the filter."""
-    mask = np.uint64(FILTER_BITS - 1)
-    return (c & mask).astype(np.int64), ((c >> np.uint64(32)) & mask).astype(np.int64)
-
-
 def copy_classes(df: DataFrame, key: str, text: str, options: str) -> DataFrame:
     """(key, first, n): for each record of a class of several records, its
     class's smallest key and number of records.
@@ -101,20 +94,12 @@ def copy_classes(df: DataFrame, key: str, text: str, options: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(invariants(b.column(0), b.column(1)).view(np.int64))], names=["c"])
 
     several = base.select("t", "o").mapInArrow(first, "c bigint").groupBy("c").agg(F.count("*").alias("n")).filter("n > 1")
-    bits = FILTER_BITS - 1
-    places = several.select(F.explode(F.array(F.col("c").bitwiseAND(bits), F.shiftrightunsigned("c", 32).bitwiseAND(bits))).alias("p"))
-    words = places.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(63).cast("int"))).alias("x")).toArrow()
-    marks = np.zeros(FILTER_BITS // 64, np.uint64)
-    marks[words["w"].to_numpy()] = words["x"].to_numpy().view(np.uint64)
-    shared = df.sparkSession.sparkContext.broadcast(marks)
+    shared = df.sparkSession.sparkContext.broadcast(filters.build(several, "c"))
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for b in batches:
-            hit = np.ones(b.num_rows, bool)
-            for p in _positions(invariants(b.column(1), b.column(2))):
-                hit &= (table[p >> 6] >> (p & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-            some = b.filter(pa.array(hit))
+            some = b.filter(pa.array(filters.passes(table, invariants(b.column(1), b.column(2)))))
             yield pa.RecordBatch.from_arrays([some.column(0), pa.array(costly_keys(some.column(1), some.column(2)), pa.binary())], names=["k", "d"])
 
     kind = df.schema[key].dataType.simpleString()

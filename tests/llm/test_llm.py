@@ -254,8 +254,25 @@ def test_examples_are_not_from_the_corpus(spark):
 def test_scan_parts():
     assert scan_repair.confusion_cost("matrix", "rnatrix") == 1 and scan_repair.confusion_cost("shielded", "shieldecl") == 1
     assert scan_repair.confusion_cost("coastal", "coastal") == 0 and scan_repair.confusion_cost("coastal", "postal") == 4
-    for line, want in {"Page 7 of 23": 7, "- 12 -": 12, "[9]": 9, "lO": 10, "iv": -1, "p. 3": 3, "Turn over": None, "9 lamps": None, "": None}.items():
-        assert scan_repair.as_number(line) == want
+    for line, want in {"Page 7 of 23": 7, "- 12 -": 12, "[9]": 9, "lO": 10, "iv": 4, "p. 3": 3, "p12": 12, "S. 12": 12, "Page twelve": 12, "twenty-one": 21, "१२": 12, "Page 12 | 30": 12, "Turn over": None, "9 lamps": None, "": None}.items():
+        got = scan_repair.number_parts(line)
+        assert (got and got[0][0][1]) == want
+
+
+@pytest.fixture(scope="module")
+def number_model():
+    return scan_repair.train_numbers()
+
+
+@pytest.mark.parametrize("line", ["Page twelve", "twelve", "१२", "p12", "S. 12", "Page 12 | 30", "- 12 -", "12", "xii", "Seite 12 von 40", "1Z".replace("Z", "2")])
+def test_page_numbers(line, number_model):
+    model = number_model
+    lines = ["the first line of the page is here.", "and a second one, which goes on", "to the third.", line]
+    assert model.margin(np.array([scan_repair.number_features(lines, [0, 1, 2, 3], 3, 12, False)]))[0] > 0
+    lines = ["the first line of the page is here.", "12", "and a second one, which goes on", "to the third and the", "value of the mass in the vessel is then", "47."]
+    for at in (2, 5):
+        f = scan_repair.number_features(lines, list(range(6)), at, 12, False)
+        assert f is None or model.margin(np.array([f]))[0] < 0
 
 
 WORDS = "between measure estuary gradient reading surface current method station analyst density because harvest changes pressure library student weather mixture surveys".split()
