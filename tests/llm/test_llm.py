@@ -222,7 +222,7 @@ def test_abuse_log_odds():
 
 @pytest.mark.parametrize("without", ["", *abuse.GROUPS[:5]])
 def test_abuse_held_out(spark, without):
-    """Trained on sf0.1, measured on labels of the large check data whose
+    """Trained on sf0.1, measured on labels of the small check data whose
     texts the model has not seen; also with one family of words taken out of
     the lists. Some labels are wrong by design, so 1 can't be reached."""
     got = held_out(spark, {w: b & ~(1 << abuse.GROUPS.index(without)) for w, b in abuse._LEXICON.items()} if without else None)
